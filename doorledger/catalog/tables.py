@@ -56,6 +56,6 @@ logs AS (
          value AS processing_time_ms, value / 500 AS confidence,
          CAST(event_id AS VARCHAR) AS prediction_id,
          strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp",
-         ts AS event_ts, epoch_ms(ts) AS event_ms
+         ts AS event_ts, epoch_us(ts) // 1000 AS event_ms
   FROM events)
 """

@@ -68,8 +68,8 @@ def rule_rows(logs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         F.lit(i).alias("rule"), r.key().alias("key"), F.lit(r.window_ms).cast("bigint")
         .alias("window_ms"))) for i, r in enumerate(rules)]
     return (logs.select("event_ms", "ingest_seq", "timestamp",
-                        ev.ip_key().alias("source_ip"),
-                        F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())).alias("h"))
+                        ev.ip_key().alias("source_ip"), F.explode(F.array(*hits)).alias("h"))
+            .where(F.col("h").isNotNull())
             .select("h.rule", "h.key", "h.window_ms", "event_ms", "ingest_seq", "source_ip",
                     "timestamp"))
 
@@ -92,9 +92,10 @@ def alerts_from_counts(counted: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         return F.when(c > 2 * r.threshold, "critical").otherwise("warning")
 
     def message(r: Rule) -> Column:
-        text = ("User %s logged in successfully %d times in %ds" if r.per_user
-                else "IP %s had %d failed matches in %ds")
-        return F.format_string(text, "key", c, F.lit(r.window_seconds))
+        who, did = (("User ", " logged in successfully ") if r.per_user else ("IP ", " had "))
+        unit = " times in " if r.per_user else " failed matches in "
+        return F.concat(F.lit(who), F.col("key"), F.lit(did), c.cast("string"),
+                        F.lit(f"{unit}{r.window_seconds}s"))
 
     return over.select(
         _per_rule(rules, lambda r: F.lit(r.alert_type)).alias("alert_type"),

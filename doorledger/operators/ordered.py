@@ -5,6 +5,8 @@ is cut into time blocks. Rows are windowed inside (key, block); what earlier blo
 contribute is reduced to one row per (key, block) with map-side partial aggregation,
 accumulated over that short table and joined back. The result is exact and one key
 holding a third of the rows spreads over as many tasks as it has blocks.
+
+Keys and times must not be null; callers give missing keys their default first.
 """
 
 from __future__ import annotations
@@ -25,12 +27,8 @@ def block_of(ms: Column | str, width: int) -> Column:
 
 
 def _join_blocks(rows: DataFrame, blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    r, b = rows.alias("r"), blocks.alias("b")
-    cond = F.lit(True)
-    for k in [*keys, _BLK]:
-        cond = cond & F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}"))
-    extra = [c for c in blocks.columns if c not in (*keys, _BLK)]
-    return r.join(b, cond).select("r.*", *[f"b.{c}" for c in extra])
+    # plain equality, so that the join takes over the partitioning and order of the window
+    return rows.join(blocks, [*keys, _BLK])
 
 
 def running_total(rows: DataFrame, keys: Sequence[str], ms: str, order: Sequence[str | Column],
