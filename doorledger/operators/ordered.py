@@ -6,7 +6,8 @@ contribute is reduced to one row per (key, block) with map-side partial aggregat
 accumulated over that short table and joined back. The result is exact and one key
 holding a third of the rows spreads over as many tasks as it has blocks.
 
-Keys and times must not be null; callers give missing keys their default first.
+Rows with a null key are kept, but see only their own block; callers that have missing keys
+give them their default first. Times must not be null.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ def block_of(ms: Column | str, width: int) -> Column:
 
 def _join_blocks(rows: DataFrame, blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
     # plain equality, so that the join takes over the partitioning and order of the window
-    return rows.join(blocks, [*keys, _BLK])
+    return rows.join(blocks, [*keys, _BLK], "left")
 
 
 def running_total(rows: DataFrame, keys: Sequence[str], ms: str, order: Sequence[str | Column],
@@ -40,13 +41,12 @@ def running_total(rows: DataFrame, keys: Sequence[str], ms: str, order: Sequence
     rows = rows.withColumn(_BLK, block_of(ms, block_ms))
     totals = rows.groupBy(*keys, _BLK).agg(F.sum(delta).alias("_total"))
     before = Window.partitionBy(*keys).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = totals.select(*keys, _BLK,
-                           F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
+    blocks = totals.select(*keys, _BLK, F.sum("_total").over(before).alias("_before"))
     inside = (Window.partitionBy(*keys, _BLK).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, 0))
     local = rows.withColumn("_local", F.sum(delta).over(inside))
     return (_join_blocks(local, blocks, keys)
-            .withColumn(out, F.col("_before") + F.col("_local"))
+            .withColumn(out, F.coalesce("_before", F.lit(0)) + F.col("_local"))
             .drop(_BLK, "_before", "_local"))
 
 

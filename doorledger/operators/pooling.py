@@ -204,7 +204,7 @@ def _pool_large(images: DataFrame, large: DataFrame, key: str) -> DataFrame:
 # --- same person ------------------------------------------------------------------------
 
 def same_person(images: DataFrame, key: str = "request_id", pos: str = "pos",
-                max_distance: float = MAX_DISTANCE, block_rows: int = 512) -> DataFrame:
+                max_distance: float = MAX_DISTANCE, block_rows: int = 4096) -> DataFrame:
     """Per request: is every pair of its images within ``max_distance``, and if not, the
     first offending pair (i, j) in upload order with its cosine distance.
 
@@ -235,8 +235,8 @@ def same_person(images: DataFrame, key: str = "request_id", pos: str = "pos",
              .select(key, angle(F.col("_reach")).alias("_a")))
     rest = (near.join(open_, key)
             .where(angle(F.col("_d")) + F.col("_a") > limit - _EDGE)
-            .select(key, "_pos", "embedding", F.expr(f"_pos div {int(block_rows)}").alias("_blk")))
-    pairs = _first_far_pair(rest, key, max_distance)
+            .select(key, "_pos", "embedding"))
+    pairs = _first_far_pair(rest, key, max_distance, block_rows)
     sizes = _sizes(rows, key)
     return (sizes.join(verdict.select(key, "_bad"), key, "left").join(pairs, key, "left")
             .withColumn("_b", F.coalesce("_bad", "_pair"))
@@ -245,29 +245,31 @@ def same_person(images: DataFrame, key: str = "request_id", pos: str = "pos",
                     F.col("_b.d").alias("distance")))
 
 
-def _first_far_pair(rest: DataFrame, key: str, max_distance: float) -> DataFrame:
-    """First offending pair per request. Each pair of position blocks is one group of at
-    most two blocks of rows, which returns at most one pair."""
-    blocks = rest.groupBy(key).agg(F.collect_set("_blk").alias("_all"))
-    cells = (rest.join(blocks, key).withColumn("_other", F.explode("_all"))
-             .select(key, "_pos", "embedding", "_blk",
-                     F.least("_blk", "_other").alias("_c1"),
-                     F.greatest("_blk", "_other").alias("_c2")))
+def _first_far_pair(rest: DataFrame, key: str, max_distance: float,
+                    block_rows: int) -> DataFrame:
+    """First offending pair per request. The request's rows are dealt into blocks of about
+    ``block_rows``; each pair of blocks is one group, which returns at most one pair."""
+    dealt = (rest.join(rest.groupBy(key).agg(
+        F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_nb")), key)
+        .withColumn("_blk", F.pmod(F.xxhash64("_pos"), F.col("_nb")).cast("int"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))))
+    cells = dealt.select(key, "_pos", "embedding", "_blk",
+                         F.least("_blk", "_other").alias("_c1"),
+                         F.greatest("_blk", "_other").alias("_c2"))
     schema = T.StructType([rest.schema[key], T.StructField("i", T.LongType()),
                            T.StructField("j", T.LongType()), T.StructField("d", T.DoubleType())])
 
     def compare(t: pa.Table) -> pa.Table:
-        t = t.sort_by("_pos")
-        blk, c1, c2 = (t[c].to_numpy() for c in ("_blk", "_c1", "_c2"))
-        m, p = as_matrix(t["embedding"]), t["_pos"].to_numpy()
+        blk, c1, c2, p = (t[c].to_numpy() for c in ("_blk", "_c1", "_c2", "_pos"))
+        m = as_matrix(t["embedding"])
         m = m / np.linalg.norm(m, axis=1)[:, None]
         left, right = np.flatnonzero(blk == c1), np.flatnonzero(blk == c2)
         d = 1.0 - m[left] @ m[right].T
-        i, j = np.nonzero((d > max_distance) & (p[left][:, None] < p[right][None, :]))
-        # rows come in order of (i, j), so the first hit is the first pair
-        i, j = i[:1], j[:1]
-        return pa.table([t[key].slice(0, len(i)), pa.array(p[left][i], pa.int64()),
-                         pa.array(p[right][j], pa.int64()), pa.array(d[i, j])],
+        a, b = np.nonzero((d > max_distance) & (p[left][:, None] != p[right][None, :]))
+        i, j = np.minimum(p[left][a], p[right][b]), np.maximum(p[left][a], p[right][b])
+        one = np.lexsort((j, i))[:1]
+        return pa.table([t[key].slice(0, len(one)), pa.array(i[one], pa.int64()),
+                         pa.array(j[one], pa.int64()), pa.array(d[a[one], b[one]])],
                         names=[key, "i", "j", "d"])
 
     hits = cells.groupBy(key, "_c1", "_c2").applyInArrow(compare, schema)
