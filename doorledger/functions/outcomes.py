@@ -54,6 +54,26 @@ def first_face(boxes: Column | str, probs: Column | str,
         p.cast("double").alias("confidence")))
 
 
+def fixed_decimals(x: Column, digits: int) -> Column:
+    """A non-negative double as text with ``digits`` decimals, rounded by its exact value.
+
+    ``format_string`` rounds the shortest decimal form half up (0.6675 gives 0.668, though the
+    double lies below that). Here the product with the power of ten is kept exactly, as a
+    rounded part and its error, before it is rounded half to even.
+    """
+    power = 10 ** digits
+    scaled = x * float(power)
+    wide = x * 134217729.0  # 2^27 + 1 splits a double into two halves
+    high = wide - (wide - x)
+    error = (high * float(power) - scaled) + (x - high) * float(power)
+    whole = F.floor(scaled)
+    over = (scaled - whole) + error
+    n = (F.when(over < 0.5, whole).when(over > 0.5, whole + 1)
+         .otherwise(whole + F.pmod(whole, F.lit(2)))).cast("bigint")
+    return F.concat(F.floor(n / power).cast("string"), F.lit("."),
+                    F.lpad(F.pmod(n, F.lit(power)).cast("string"), digits, "0"))
+
+
 def face_reject_reason(faces: Column | str) -> Column:
     """Onboarding rule for one image's detections: first failing rule, null when accepted."""
     faces = F.col(faces) if isinstance(faces, str) else faces
@@ -64,8 +84,9 @@ def face_reject_reason(faces: Column | str) -> Column:
             .when((n > 1) & (F.size(sure) != 1),
                   F.format_string("expected 1 face, found %d (high-confidence)", F.size(sure)))
             .when(face["confidence"] < MIN_FACE_CONFIDENCE,
-                  F.format_string(f"face confidence too low (%.3f < {MIN_FACE_CONFIDENCE})",
-                                  face["confidence"]))
+                  F.concat(F.lit("face confidence too low ("),
+                           fixed_decimals(face["confidence"], 3),
+                           F.lit(f" < {MIN_FACE_CONFIDENCE})")))
             .when((face["w"] < MIN_FACE_SIDE) | (face["h"] < MIN_FACE_SIDE),
                   F.format_string(f"face too small (%dx%d < {MIN_FACE_SIDE}x{MIN_FACE_SIDE})",
                                   face["w"], face["h"])))
