@@ -67,8 +67,8 @@ def fixed_decimals(x: Column, digits: int) -> Column:
     high = wide - (wide - x)
     error = (high * float(power) - scaled) + (x - high) * float(power)
     whole = F.floor(scaled)
-    over = (scaled - whole) + error
-    n = (F.when(over < 0.5, whole).when(over > 0.5, whole + 1)
+    over = (scaled - whole - 0.5) + error  # how far beyond the midpoint
+    n = (F.when(over < 0, whole).when(over > 0, whole + 1)
          .otherwise(whole + F.pmod(whole, F.lit(2)))).cast("bigint")
     return F.concat(F.floor(n / power).cast("string"), F.lit("."),
                     F.lpad(F.pmod(n, F.lit(power)).cast("string"), digits, "0"))
