@@ -7,9 +7,13 @@ from datetime import date as Date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from doorledger.schemas import ACCESS_LOG, SUMMARY
 
+# JSON lines as written by the generator or landed as raw text
+LOG_FILES = "*.{json,json.*,txt,txt.*}"
+
 
 def day_paths(base: str, date: str) -> list[str]:
     """Both spellings of a day's folder: a bare day and a ``Day=`` partition."""
@@ -39,6 +43,13 @@ def read_access_logs(spark: SparkSession, base: str, date: str) -> DataFrame:
     return out if out is not None else spark.createDataFrame([], ACCESS_LOG)
 
 
+def read_lake(spark: SparkSession, base: str) -> DataFrame:
+    """All days, with ``Year``, ``Month`` and ``Day`` as text columns to prune by."""
+    schema = T.StructType(ACCESS_LOG.fields + [T.StructField(c, T.StringType())
+                                               for c in ("Year", "Month", "Day")])
+    return spark.read.schema(schema).json(base)
+
+
 def list_objects(spark: SparkSession, base: str, prefix: str = "",
                  glob: str | None = None) -> DataFrame:
     """Object path, size and modification time below a prefix; contents are not read."""
@@ -55,7 +66,7 @@ def list_objects(spark: SparkSession, base: str, prefix: str = "",
     return found.select("path", "modificationTime", "length")
 
 
-def day_has_data(spark: SparkSession, base: str, date: str, glob: str = "*.json*") -> bool:
+def day_has_data(spark: SparkSession, base: str, date: str, glob: str = LOG_FILES) -> bool:
     """Is there at least one log object for the day?"""
     return any(not list_objects(spark, p, glob=glob).isEmpty() for p in day_paths(base, date))
 
@@ -97,7 +108,7 @@ def apply_retention(candidates: DataFrame, dry_run: bool = True) -> dict[str, in
 
 def dataset_manifest(spark: SparkSession, base: str, logs: DataFrame) -> DataFrame:
     """Written records, files, bytes, users and time range of a generated or ingested lake."""
-    files = list_objects(spark, base, glob="*.json*").agg(
+    files = list_objects(spark, base, glob=LOG_FILES).agg(
         F.count(F.lit(1)).alias("total_files"),
         F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"))
     facts = logs.agg(
