@@ -93,6 +93,8 @@ def _small(q: DataFrame, g: DataFrame, k: int) -> DataFrame:
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix, ids, orders = packed.value
+        if len(ids) == 0:
+            return
         step = max(1, BLOCK_BYTES // (8 * max(1, len(ids))))
         for batch in batches:
             for at in range(0, batch.num_rows, step):
