@@ -59,10 +59,19 @@ def trailing_counts(spark, sf_dir):
                                  out="n").select("ingest_seq", "source_ip", "n")
 
 
+def trailing_counts_hour(spark, sf_dir):
+    """The same with a window short enough for the one-shuffle form."""
+    logs = access_logs(spark, sf_dir).select("source_ip", "event_ms", "ingest_seq")
+    return detect.trailing_count(logs, ["source_ip"], "event_ms", "ingest_seq", 3_600_000,
+                                 out="n").select("ingest_seq", "source_ip", "n")
+
+
 QUERIES = {
     "fraud_alerts": (fraud_alerts, FRAUD_SQL),
     "spam_alerts": (spam_alerts, f"WITH {LOGS_SQL} {SPAM_SQL}"),
     "brute_force_alerts": (brute_force_alerts, f"WITH {LOGS_SQL} {BRUTE_SQL}"),
     "trailing_counts": (trailing_counts, f"""WITH {LOGS_SQL}
         SELECT ingest_seq, source_ip, n FROM ({_trailing("source_ip", "true", DAY)})"""),
+    "trailing_counts_hour": (trailing_counts_hour, f"""WITH {LOGS_SQL}
+        SELECT ingest_seq, source_ip, n FROM ({_trailing("source_ip", "true", 3600)})"""),
 }

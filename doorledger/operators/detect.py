@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from doorledger.functions import events as ev
@@ -45,21 +45,41 @@ def brute_force_rule(threshold: int = 10, window_seconds: int = 300,
 
 
 def trailing_count(rows: DataFrame, keys: Sequence[str], ms: str, seq: str,
-                   window_ms: int | Column, out: str = "count",
-                   block_ms: int = HOUR_MS) -> DataFrame:
-    """Add ``out`` to every row: the key's events in the window that ends with it."""
-    width = F.lit(window_ms) if isinstance(window_ms, int) else window_ms
+                   window_ms: int | Column, out: str = "count", block_ms: int = HOUR_MS,
+                   longest_ms: int | None = None) -> DataFrame:
+    """Add ``out`` to every row: the key's events in the window that ends with it.
+
+    Windows up to ``block_ms`` take one scan, one shuffle and one sort: keys are cut into
+    blocks as long as the window, so an event leaves exactly one block after it came, and the
+    events that leave during a block are those the block starts with. Longer windows use
+    blocks of ``block_ms`` and totals carried between them, which costs a second, narrow scan
+    but keeps the pieces of a hot key small. With a column of widths, ``longest_ms`` bounds
+    them.
+    """
+    longest = window_ms if isinstance(window_ms, int) else longest_ms
+    width = F.lit(window_ms).cast("bigint") if isinstance(window_ms, int) else window_ms
     payload = [c for c in rows.columns if c not in (*keys, ms, seq)]
-    steps = F.array(
-        F.struct(F.lit(1).alias("step"), F.col(ms).alias("at"), F.col(seq).alias("seq"),
-                 F.struct(*payload).alias("row") if payload else F.lit(None).alias("row")),
-        F.struct(F.lit(-1).alias("step"), (F.col(ms) + width).alias("at"),
-                 F.lit(None).cast(rows.schema[seq].dataType).alias("seq"), F.lit(None).alias("row")))
-    moves = rows.select(*keys, F.explode(steps).alias("m")).select(*keys, "m.*")
-    counted = running_total(moves, keys, "at", ["at", "step", "seq"], "step", out, block_ms)
-    kept = counted.where(F.col("step") == 1)
+    gone = F.col(ms) + width
+    step = {"step": (F.lit(1), F.lit(-1)), "at": (F.col(ms), gone),
+            "seq": (F.col(seq), F.lit(None).cast(rows.schema[seq].dataType)),
+            "row": (F.struct(*payload) if payload else F.lit(None), F.lit(None))}
+    short = longest is not None and longest <= block_ms
+    if short:
+        step["_blk"] = tuple(t - F.pmod(t, width) for t in step["at"])
+    sides = [F.struct(*[pair[i].alias(name) for name, pair in step.items()]) for i in (0, 1)]
+    moves = rows.select(*keys, F.explode(F.array(*sides)).alias("m")).select(*keys, "m.*")
+    order = ["at", "step", "seq"]
+    if short:
+        block = Window.partitionBy(*keys, "_blk").orderBy(*order)
+        everywhere = block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        so_far = block.rowsBetween(Window.unboundedPreceding, 0)
+        counted = moves.withColumn(out, F.count_if(F.col("step") < 0).over(everywhere)
+                                   + F.sum("step").over(so_far))
+    else:
+        counted = running_total(moves, keys, "at", order, "step", out, block_ms)
     back = [F.col(f"row.{c}").alias(c) for c in payload]
-    return kept.select(*keys, F.col("at").alias(ms), F.col("seq").alias(seq), *back, out)
+    return counted.where(F.col("step") > 0).select(
+        *keys, F.col("at").alias(ms), F.col("seq").alias(seq), *back, out)
 
 
 def rule_rows(logs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -115,7 +135,8 @@ def fraud_alerts(logs: DataFrame, rules: Sequence[Rule] | None = None,
     """All rules over flat events (``ingest_seq`` breaks ties): one scan, one main shuffle."""
     rules = list(rules) if rules is not None else [spam_rule(), brute_force_rule()]
     counted = trailing_count(rule_rows(logs, rules), ["rule", "key"], "event_ms", "ingest_seq",
-                             F.col("window_ms"), block_ms=block_ms)
+                             F.col("window_ms"), block_ms=block_ms,
+                             longest_ms=max(r.window_ms for r in rules))
     return alerts_from_counts(counted, rules)
 
 

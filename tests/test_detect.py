@@ -22,7 +22,7 @@ def replay(rows, window_ms):
     return out
 
 
-@pytest.mark.parametrize("block_ms", [1_000, 7_000, 3_600_000])
+@pytest.mark.parametrize("block_ms", [7_000, 10_000])  # carried totals, one pass
 def test_trailing_count_equals_replay(spark, block_ms):
     rnd = random.Random(3)
     rows = [(rnd.choice("aab"), rnd.randrange(-20_000, 40_000, 500), i) for i in range(400)]
