@@ -224,13 +224,14 @@ def generated_folders(spark, sf_dir):
 
 
 def pushed_features(spark, sf_dir):
-    """Templates pushed over the stored vectors: history grows, the online table keeps one."""
+    """Templates pushed over stored vectors; some are older than what is stored and lose."""
     e = table(spark, sf_dir, "embeddings")
     at = F.lit("2024-01-01").cast("timestamp")
     old = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("embedding"))
     base = features.embedding_rows(old, "label", at)
-    new = features.embedding_rows(pooling.pool_embeddings(e, "label").where("label < 5"),
-                                  "label", "2024-02-01")
+    pooled = pooling.pool_embeddings(e, "label")
+    new = features.embedding_rows(pooled, "label", F.when(
+        F.col("images") > 50, F.lit("2024-02-01")).otherwise("2023-02-01").cast("timestamp"))
     history, online = features.push(new, base, base)
     n = history.groupBy("employee_id").agg(F.count(F.lit(1)).alias("history"))
     return online.join(n, "employee_id").select(
@@ -422,14 +423,14 @@ QUERIES = {
                lpad(CAST(b % 28 + 1 AS VARCHAR), 2, '0') AS "Day", count(*) AS n
         FROM b GROUP BY 1, 2, 3"""),
     "pushed_features": (pushed_features, """WITH
-        old AS (SELECT label, arg_min(embedding, vec_id)[1] AS x FROM embeddings GROUP BY 1),
+        old AS (SELECT label, arg_min(embedding, vec_id)[1] AS x, count(*) > 50 AS newer
+                FROM embeddings GROUP BY 1),
         new AS (SELECT label, CAST(median(CAST(embedding[1] AS DOUBLE)) AS FLOAT) AS x
-                FROM embeddings WHERE label < 5 GROUP BY 1)
-        SELECT CAST(old.label AS VARCHAR) AS employee_id,
-               CASE WHEN new.x IS NULL THEN 1 ELSE 2 END AS history,
-               CASE WHEN new.x IS NULL THEN '2024-01-01' ELSE '2024-02-01' END AS day,
-               round(CAST(coalesce(new.x, old.x) AS DOUBLE), 5) AS x0
-        FROM old LEFT JOIN new ON old.label = new.label"""),
+                FROM embeddings GROUP BY 1)
+        SELECT CAST(old.label AS VARCHAR) AS employee_id, 2 AS history,
+               CASE WHEN newer THEN '2024-02-01' ELSE '2024-01-01' END AS day,
+               round(CAST(CASE WHEN newer THEN new.x ELSE old.x END AS DOUBLE), 5) AS x0
+        FROM old JOIN new ON old.label = new.label"""),
 }
 
 

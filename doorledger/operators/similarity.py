@@ -11,7 +11,7 @@ go to the earlier gallery entry.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -67,8 +67,8 @@ def _top(queries: np.ndarray, gallery: np.ndarray, k: int
 
 
 def _prepare(queries: DataFrame, gallery: DataFrame, query_id: str, gallery_id: str,
-             order: str | None) -> tuple[DataFrame, DataFrame]:
-    q = queries.select(F.col(query_id).alias("query_id"),
+             order: str | None, carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    q = queries.select(F.col(query_id).alias("query_id"), *carry,
                        F.col("embedding").cast("array<double>").alias("embedding"))
     g = gallery.where(F.col("embedding").isNotNull()).select(
         F.col(gallery_id).alias("match_id"), F.col(order or gallery_id).alias("match_order"),
@@ -83,22 +83,31 @@ def _result_schema(q: DataFrame, g: DataFrame) -> T.StructType:
                          T.StructField("score", T.DoubleType())])
 
 
-def _small(q: DataFrame, g: DataFrame, k: int) -> DataFrame:
-    """Gallery of checked size: broadcast once, multiply batch by batch."""
+def _slices(n: int, width: int) -> Iterator[tuple[int, int]]:
+    """Query rows to multiply at a time, so that the product stays within a block."""
+    step = max(1, BLOCK_BYTES // (8 * max(1, width)))
+    return ((i, min(step, n - i)) for i in range(0, n, step))
+
+
+def _share(g: DataFrame):
+    """A gallery of checked size, sent to the executors once."""
     local = g.orderBy("match_order").toArrow()
-    spark = q.sparkSession
-    packed = spark.sparkContext.broadcast(
+    return g.sparkSession.sparkContext.broadcast(
         (as_matrix(local["embedding"]), local["match_id"].combine_chunks(),
          local["match_order"].combine_chunks()))
 
+
+def _small(q: DataFrame, g: DataFrame, k: int) -> DataFrame:
+    """Top k with a shared gallery, batch by batch."""
+    packed = _share(g)
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix, ids, orders = packed.value
         if len(ids) == 0:
             return
-        step = max(1, BLOCK_BYTES // (8 * max(1, len(ids))))
         for batch in batches:
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
+            for at, n in _slices(batch.num_rows, len(ids)):
+                part = batch.slice(at, n)
                 yield _answer(part["query_id"], as_matrix(part["embedding"]), ids, orders,
                               matrix, k)
 
@@ -106,6 +115,37 @@ def _small(q: DataFrame, g: DataFrame, k: int) -> DataFrame:
             .mapInArrow(search, _result_schema(q, g)))
 
 
+def _small_best(q: DataFrame, g: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """Best match of every query with a shared gallery: rows stay where they are, with their
+    carried columns, so nothing is shuffled or joined back."""
+    packed = _share(g)
+    kept = ["query_id", *carry]
+    schema = T.StructType([*[q.schema[c] for c in kept],
+                           T.StructField("match_id", g.schema["match_id"].dataType),
+                           T.StructField("score", T.DoubleType())])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matrix, ids, _ = packed.value
+        for batch in batches:
+            for at, n in _slices(batch.num_rows, len(ids)):
+                part = batch.slice(at, n)
+                usable = np.flatnonzero(part["embedding"].is_valid().to_numpy(
+                    zero_copy_only=False))
+                place = np.full(n, -1)
+                score = np.full(n, np.nan)
+                if len(usable) and len(ids):
+                    vectors = as_matrix(part["embedding"].take(pa.array(usable)))
+                    rows, cols, best = _top(vectors, matrix, 1)
+                    place[usable[rows]], score[usable[rows]] = cols, best
+                none = place < 0
+                yield pa.RecordBatch.from_arrays(
+                    [*[part[c] for c in kept],
+                     ids.take(pa.array(place, mask=none)), pa.array(score, mask=none)],
+                    names=[*kept, "match_id", "score"])
+
+    return q.mapInArrow(search, schema)
+
+
 def _answer(qids: pa.Array, qmat: np.ndarray, ids: pa.Array, orders: pa.Array,
             matrix: np.ndarray, k: int) -> pa.RecordBatch:
     rows, cols, score = _top(qmat, matrix, k)
@@ -138,10 +178,9 @@ def _blocked(q: DataFrame, g: DataFrame, k: int, q_blocks: int, g_blocks: int) -
         ids, orders = b["match_id"].combine_chunks(), b["match_order"].combine_chunks()
         qids, qmat, gmat = a["query_id"].combine_chunks(), as_matrix(a["embedding"]), \
             as_matrix(b["embedding"])
-        step = max(1, BLOCK_BYTES // (8 * len(ids)))
         return pa.Table.from_batches(
-            [_answer(qids.slice(i, step), qmat[i:i + step], ids, orders, gmat, k)
-             for i in range(0, len(qmat), step)])
+            [_answer(qids.slice(i, n), qmat[i:i + n], ids, orders, gmat, k)
+             for i, n in _slices(len(qmat), len(ids))])
 
     partial = (left.groupBy("qb", "gb").cogroup(right.groupBy("qb", "gb"))
                .applyInArrow(search, schema))
@@ -155,34 +194,44 @@ def _blocked(q: DataFrame, g: DataFrame, k: int, q_blocks: int, g_blocks: int) -
             .drop("_n"))
 
 
-def _search(q: DataFrame, g: DataFrame, k: int, broadcast_bytes: int,
-            block_bytes: int) -> tuple[DataFrame, int]:
-    """Pick the physical form from the measured gallery size; also returns that size."""
-    n, width = g.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()
-    if n * (width * 8 + 64) <= broadcast_bytes:
-        return _small(q, g, k), n
+def _measure(g: DataFrame) -> tuple[int, int]:
+    """Vectors in the gallery and their width."""
+    return tuple(g.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("embedding")), F.lit(0)))
+                 .first())
+
+
+def _fits(n: int, width: int, limit: int) -> bool:
+    return n * (width * 8 + 64) <= limit
+
+
+def _large(q: DataFrame, g: DataFrame, k: int, n: int, width: int, block_bytes: int) -> DataFrame:
     rows = max(1, block_bytes // (8 * max(1, width)))
-    g_blocks, q_blocks = math.ceil(n / rows), max(1, math.ceil(q.count() / rows))
-    return _blocked(q, g, k, q_blocks, g_blocks), n
+    return _blocked(q, g, k, max(1, math.ceil(q.count() / rows)), max(1, math.ceil(n / rows)))
 
 
 def best_match(queries: DataFrame, gallery: DataFrame, threshold: float | None = None,
                query_id: str = "query_id", gallery_id: str = "match_id",
-               gallery_order: str | None = None, broadcast_bytes: int = BROADCAST_BYTES,
-               block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per query: ``match_id`` if its best cosine reaches the threshold, and that ``score``.
+               gallery_order: str | None = None, carry: Sequence[str] = (),
+               broadcast_bytes: int = BROADCAST_BYTES, block_bytes: int = BLOCK_BYTES
+               ) -> DataFrame:
+    """Per query: ``match_id`` if its best cosine reaches the threshold, and that ``score``,
+    with the ``carry`` columns of the queries.
 
     An empty gallery gives (null, null). A query with no usable score, or whose best is
     exactly -1, gives (null, -1). None and 0 mean the default threshold. Query ids are unique.
     """
     limit = effective_threshold(threshold)
-    q, g = _prepare(queries, gallery, query_id, gallery_id, gallery_order)
-    found, size = _search(q, g, 1, broadcast_bytes, block_bytes)
-    best = (q.select("query_id")
-            .join(found.select("query_id", "match_id", "score"), "query_id", "left"))
+    q, g = _prepare(queries, gallery, query_id, gallery_id, gallery_order, carry)
+    size, width = _measure(g)
+    if _fits(size, width, broadcast_bytes):
+        best = _small_best(q, g, carry)
+    else:
+        found = _large(q.select("query_id", "embedding"), g, 1, size, width, block_bytes)
+        best = q.drop("embedding").join(found.select("query_id", "match_id", "score"),
+                                        "query_id", "left")
     score = F.coalesce("score", F.lit(-1.0)) if size else F.lit(None).cast("double")
     hit = (F.col("score") > -1) & (F.col("score") >= limit)
-    return best.select("query_id", F.when(hit, F.col("match_id")).alias("match_id"),
+    return best.select("query_id", *carry, F.when(hit, F.col("match_id")).alias("match_id"),
                        score.alias("score"))
 
 
@@ -192,7 +241,9 @@ def top_k_matches(queries: DataFrame, gallery: DataFrame, k: int, query_id: str
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The k highest cosines per query, ranked from 1."""
     q, g = _prepare(queries, gallery, query_id, gallery_id, gallery_order)
-    found, _ = _search(q, g, k, broadcast_bytes, block_bytes)
+    size, width = _measure(g)
+    found = (_small(q, g, k) if _fits(size, width, broadcast_bytes)
+             else _large(q, g, k, size, width, block_bytes))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "match_order")
     return found.select("query_id", F.row_number().over(w).alias("rank"), "match_id", "score")
 

@@ -18,17 +18,21 @@ def bulk_recognition(requests: DataFrame, gallery: DataFrame,
     requests: prediction_id, ts, boxes array<array<double>>, probs array<double>, embedding,
     source_ip, processing_time_ms, error. gallery: match_id, embedding.
     """
-    seen = requests.withColumn("face", oc.first_face("boxes", "probs"))
-    able = F.col("face").isNotNull() & F.col("embedding").isNotNull() & F.col("error").isNull()
-    found = best_match(seen.where(able).select("prediction_id", "embedding"), gallery, threshold,
-                       query_id="prediction_id")
-    joined = seen.withColumn("has_embedding", F.col("embedding").isNotNull()).drop(
-        "embedding").join(
-        found.select(F.col("query_id").alias("prediction_id"),
-                     F.col("match_id").cast("string").alias("matched_user"),
-                     F.col("score").alias("confidence")), "prediction_id", "left")
-    out = joined.withColumn("status", oc.prediction_status(
-        F.col("face").isNotNull(), "has_embedding", "matched_user", "error"))
+    seen = requests.withColumn("face", oc.first_face("boxes", "probs")).drop("boxes", "probs")
+    # only a request that got as far as a vector is matched
+    able = F.col("face").isNotNull() & F.col("error").isNull()
+    ready = (seen.withColumn("has_embedding", F.col("embedding").isNotNull())
+             .withColumn("embedding", F.when(able, F.col("embedding"))))
+    found = best_match(ready, gallery, threshold, query_id="prediction_id", carry=[
+        "ts", "source_ip", "processing_time_ms", "error", "face", "has_embedding"])
+    matched = able & F.col("has_embedding")
+    out = found.select(
+        F.col("query_id").alias("prediction_id"), "ts", "source_ip", "processing_time_ms",
+        "error", "face", "has_embedding",
+        F.when(matched, F.col("match_id").cast("string")).alias("matched_user"),
+        F.when(matched, F.col("score")).alias("confidence")).withColumn(
+        "status", oc.prediction_status(F.col("face").isNotNull(), "has_embedding",
+                                       "matched_user", "error"))
     return out.select(
         "prediction_id", "ts", "source_ip", "processing_time_ms", "error", "face",
         "matched_user", "confidence", "status",
