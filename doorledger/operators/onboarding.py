@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from doorledger.functions.events import stable_uuid
 from doorledger.functions.outcomes import face_reject_reason
-from doorledger.session import scratch_dir
+from doorledger.session import settled
 
 
 def requested_images(requests: DataFrame, key: str = "request_id",
@@ -71,18 +71,16 @@ def _new_users(registrations: DataFrame, users: DataFrame) -> DataFrame | None:
     username or email. Each round settles, without pairing rows, those that come first for both
     their username and their email, and drops the ones they make into updates.
     """
-    spark = registrations.sparkSession
-    scratch_dir(spark, "rounds")  # names the checkpoint folder where the session has none
-    pending = _without(registrations.select("seq", "username", "email"), users).checkpoint()
+    pending = settled(_without(registrations.select("seq", "username", "email"), users))
     won: DataFrame | None = None
     while not pending.isEmpty():
         first_name = pending.groupBy("username").agg(F.min("seq").alias("_n"))
         first_mail = pending.groupBy("email").agg(F.min("seq").alias("_m"))
-        winners = (pending.join(first_name, "username").join(first_mail, "email")
-                   .where((F.col("seq") == F.col("_n")) & (F.col("seq") == F.col("_m")))
-                   .select("seq", "username", "email").checkpoint())
+        winners = settled(pending.join(first_name, "username").join(first_mail, "email")
+                          .where((F.col("seq") == F.col("_n")) & (F.col("seq") == F.col("_m")))
+                          .select("seq", "username", "email"))
         won = winners if won is None else won.unionByName(winners)
-        pending = _without(pending, winners).checkpoint()
+        pending = settled(_without(pending, winners))
     return won
 
 

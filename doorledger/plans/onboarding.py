@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from doorledger.functions.outcomes import fixed_decimals, request_reject_reason
 from doorledger.operators import features, onboarding, pooling, similarity
+from doorledger.session import settled
 
 
 @dataclass
@@ -34,7 +35,9 @@ def run_onboarding(requests: DataFrame, detections: DataFrame, embeddings: DataF
     complete = checked.where(F.col("_reason").isNull()).drop("_reason")
     rejected = _reject(checked.where(F.col("_reason").isNotNull()), "request", F.col("_reason"))
 
-    images = onboarding.gate_images(onboarding.requested_images(complete), detections)
+    # stages that several results start from are settled: flags per image, one verdict and one
+    # vector per request
+    images = settled(onboarding.gate_images(onboarding.requested_images(complete), detections))
     passes = onboarding.request_passes(images)
     rejected = rejected.unionByName(_reject(
         passes.where(~F.col("passes")), "faces",
@@ -44,7 +47,7 @@ def run_onboarding(requests: DataFrame, detections: DataFrame, embeddings: DataF
     accepted = images.where(F.col("reject_reason").isNull()).select("request_id", "pos")
     usable = (embeddings.where(F.col("embedding").isNotNull())
               .join(accepted, ["request_id", "pos"], "left_semi"))
-    verdict = pooling.same_person(usable, max_distance=max_distance)
+    verdict = settled(pooling.same_person(usable, max_distance=max_distance))
     none = (passes.where("passes").join(verdict.select("request_id"), "request_id", "left_anti"))
     rejected = rejected.unionByName(_reject(
         none, "embedding", F.lit("Only 0 embeddings extracted (need >= 1)")))
@@ -59,10 +62,10 @@ def run_onboarding(requests: DataFrame, detections: DataFrame, embeddings: DataF
 
     same = verdict.where("same_person").select("request_id")
     pooled = pooling.pool_embeddings(usable.join(same, "request_id", "left_semi"))
-    registered = pooled.join(complete, "request_id")
+    registered = settled(pooled.join(complete, "request_id"))
     rows = registered.select("seq", "username", "email", "full_name",
                              F.to_json("embedding").alias("face_embedding"))
-    snapshot = onboarding.upsert_users(users, rows, now)
+    snapshot = settled(onboarding.upsert_users(users, rows, now))
     pushed = features.embedding_rows(registered, "user_id", now)
 
     # verification: the first accepted image must find its own user

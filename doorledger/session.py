@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _RUNTIME = {
     # naive ISO strings and timestamp_ntz columns are read as UTC
@@ -49,3 +49,10 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows written to the shared checkpoint folder, so that several results can start
+    from them without computing them again; they survive the loss of executors."""
+    scratch_dir(df.sparkSession, "stage")  # names the folder where the session has none
+    return df.checkpoint()
