@@ -54,7 +54,8 @@ def attendance_report(spark, sf_dir):
 
 def confidence_trend(spark, sf_dir):
     t = summary.confidence_trend(access_logs(spark, sf_dir))
-    return t.select("user_id", "date", *[F.round(c, 6).alias(c) for c in (
+    # ten digits: means of two-decimal values are often exact halves at six
+    return t.select("user_id", "date", *[F.round(c, 10).alias(c) for c in (
         "avg_confidence", "min_confidence", "max_confidence", "change")])
 
 
@@ -154,9 +155,9 @@ QUERIES = {
     "confidence_trend": (confidence_trend, f"""WITH {LOGS_SQL}, d AS (
         SELECT user_id, strftime(event_ts, '%Y-%m-%d') AS date, avg(confidence) AS a,
                min(confidence) AS lo, max(confidence) AS hi FROM logs GROUP BY 1, 2)
-        SELECT user_id, date, round(a, 6) AS avg_confidence, round(lo, 6) AS min_confidence,
-               round(hi, 6) AS max_confidence,
-               round(a - lag(a) OVER (PARTITION BY user_id ORDER BY date), 6) AS change
+        SELECT user_id, date, round(a, 10) AS avg_confidence, round(lo, 10) AS min_confidence,
+               round(hi, 10) AS max_confidence,
+               round(a - lag(a) OVER (PARTITION BY user_id ORDER BY date), 10) AS change
         FROM d"""),
     "parsed_logs": (parsed_logs, f"""WITH {LOGS_SQL}
         SELECT ingest_seq, CASE WHEN user_id <> '7' THEN user_id END AS user_id,

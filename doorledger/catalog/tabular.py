@@ -156,7 +156,7 @@ def error_rate(spark, sf_dir):
 def mean_latency(spark, sf_dir):
     t = _timed(spark, sf_dir).withColumn("seconds", F.col("value") / 1000)
     r = metrics.mean_latency_ms(t, ["event_type"], "1 day", "seconds")
-    return _hour(r, "event_type", F.round("mean_ms", 6).alias("mean_ms"))
+    return _hour(r, "event_type", F.round("mean_ms", 10).alias("mean_ms"))
 
 
 def latency_p95(spark, sf_dir):
@@ -259,7 +259,7 @@ QUERIES = {
                CASE WHEN x >= 30 THEN 'red' WHEN x >= 10 THEN 'yellow' ELSE 'green' END AS band
         FROM p"""),
     "mean_latency": (mean_latency, f"""
-        SELECT event_type, {_bucket("1 day")}, round(avg(value), 6) AS mean_ms
+        SELECT event_type, {_bucket("1 day")}, round(avg(value), 10) AS mean_ms
         FROM events GROUP BY 1, 2"""),
     "latency_p95": (latency_p95, f"""WITH b AS (
         SELECT event_type, edge, count(*) FILTER (value / 1000 <= edge) AS n, count(*) AS total
