@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,6 @@ from doorledger.functions.vectors import effective_threshold
 
 BROADCAST_BYTES = 64 << 20
 BLOCK_BYTES = 32 << 20
-_TIE = 1e-9
 
 
 def as_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -38,41 +38,81 @@ def as_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(n, -1) if n else np.zeros((0, 0))
 
 
-def _unit(m: np.ndarray) -> np.ndarray:
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return m / np.linalg.norm(m, axis=1)[:, None]
+@dataclass(frozen=True)
+class Gallery:
+    """Usable gallery vectors in order, with what every query batch needs of them."""
 
+    rows: np.ndarray     # places of the vectors in the original order
+    vectors: np.ndarray  # double precision
+    square: np.ndarray   # squared norms
+    unit: np.ndarray     # single precision, unit length
 
-def _top(queries: np.ndarray, gallery: np.ndarray, k: int
+
+def _squares(m: np.ndarray) -> np.ndarray:
+    return (m * m).sum(axis=1)
+
+
+def _unit(m: np.ndarray, square: np.ndarray) -> np.ndarray:
+    return (m / np.sqrt(square)[:, None]).astype(np.float32)
+
+
+def gallery_of(matrix: np.ndarray, k: int) -> Gallery:
+    """Leaves out vectors without a length, and of equal vectors all but the first ``k``: the
+    later ones can never be among a query's k best."""
+    square = _squares(matrix)
+    rows = np.flatnonzero(np.isfinite(square) & (square > 0))
+    if len(rows) > k:
+        _, group = np.unique(matrix[rows], axis=0, return_inverse=True)
+        by_group = np.argsort(group.ravel(), kind="stable")
+        ordered = group.ravel()[by_group]
+        place = np.arange(len(ordered)) - np.searchsorted(ordered, ordered, side="left")
+        rows = rows[np.sort(by_group[place < k])]
+    return Gallery(rows, matrix[rows], square[rows], _unit(matrix[rows], square[rows]))
+
+
+def _top(queries: np.ndarray, gallery: Gallery, k: int
          ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query row, gallery row, score) of each query's k best, gallery rows in order on ties.
 
-    The matrix product only selects candidates. Their scores are then computed pair by pair,
-    so that equal vectors get bit-equal scores wherever they sit in a block.
+    A single-precision product only selects candidates, with twice its error bound as margin.
+    Their scores are then computed pair by pair in double precision, so that equal vectors get
+    bit-equal scores wherever they sit in a block.
     """
-    sims = _unit(queries) @ _unit(gallery).T
-    sims[~np.isfinite(sims)] = -np.inf
-    if sims.shape[1] > k:
+    square = _squares(queries)
+    able = np.flatnonzero(np.isfinite(square) & (square > 0))
+    if len(able) == 0 or len(gallery.rows) == 0:
+        return np.array([], int), np.array([], int), np.array([])
+    sims = _unit(queries[able], square[able]) @ gallery.unit.T
+    width = queries.shape[1]
+    margin = np.float32(2 * (width + 16) * 6e-8)
+    if k == 1:
+        cut = sims.max(axis=1)
+    elif sims.shape[1] > k:
         cut = np.partition(sims, sims.shape[1] - k, axis=1)[:, sims.shape[1] - k]
     else:
         cut = sims.min(axis=1)
-    rows, cols = np.nonzero((sims >= (cut - _TIE)[:, None]) & (sims > -np.inf))
-    q, g = queries[rows], gallery[cols]
-    score = (q * g).sum(axis=1) / np.sqrt((q * q).sum(axis=1) * (g * g).sum(axis=1))
+    rows, cols = np.nonzero(sims >= (cut - margin)[:, None])
+    rows = able[rows]
+    score = np.empty(len(rows))
+    step = max(1, BLOCK_BYTES // (16 * width))
+    for at in range(0, len(rows), step):
+        r, c = rows[at:at + step], cols[at:at + step]
+        score[at:at + step] = ((queries[r] * gallery.vectors[c]).sum(axis=1)
+                               / np.sqrt(square[r] * gallery.square[c]))
     order = np.lexsort((cols, -score, rows))
     rows, cols, score = rows[order], cols[order], score[order]
     place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
     best = place < k
-    return rows[best], cols[best], score[best]
+    return rows[best], gallery.rows[cols[best]], score[best]
 
 
 def _prepare(queries: DataFrame, gallery: DataFrame, query_id: str, gallery_id: str,
              order: str | None, carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     q = queries.select(F.col(query_id).alias("query_id"), *carry,
-                       F.col("embedding").cast("array<double>").alias("embedding"))
+                       F.col("embedding"))
     g = gallery.where(F.col("embedding").isNotNull()).select(
         F.col(gallery_id).alias("match_id"), F.col(order or gallery_id).alias("match_order"),
-        F.col("embedding").cast("array<double>").alias("embedding"))
+        F.col("embedding"))
     return q, g
 
 
@@ -89,17 +129,17 @@ def _slices(n: int, width: int) -> Iterator[tuple[int, int]]:
     return ((i, min(step, n - i)) for i in range(0, n, step))
 
 
-def _share(g: DataFrame):
+def _share(g: DataFrame, k: int):
     """A gallery of checked size, sent to the executors once."""
     local = g.orderBy("match_order").toArrow()
     return g.sparkSession.sparkContext.broadcast(
-        (as_matrix(local["embedding"]), local["match_id"].combine_chunks(),
+        (gallery_of(as_matrix(local["embedding"]), k), local["match_id"].combine_chunks(),
          local["match_order"].combine_chunks()))
 
 
 def _small(q: DataFrame, g: DataFrame, k: int) -> DataFrame:
     """Top k with a shared gallery, batch by batch."""
-    packed = _share(g)
+    packed = _share(g, k)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix, ids, orders = packed.value
@@ -118,7 +158,7 @@ def _small(q: DataFrame, g: DataFrame, k: int) -> DataFrame:
 def _small_best(q: DataFrame, g: DataFrame, carry: Sequence[str]) -> DataFrame:
     """Best match of every query with a shared gallery: rows stay where they are, with their
     carried columns, so nothing is shuffled or joined back."""
-    packed = _share(g)
+    packed = _share(g, 1)
     kept = ["query_id", *carry]
     schema = T.StructType([*[q.schema[c] for c in kept],
                            T.StructField("match_id", g.schema["match_id"].dataType),
@@ -147,7 +187,7 @@ def _small_best(q: DataFrame, g: DataFrame, carry: Sequence[str]) -> DataFrame:
 
 
 def _answer(qids: pa.Array, qmat: np.ndarray, ids: pa.Array, orders: pa.Array,
-            matrix: np.ndarray, k: int) -> pa.RecordBatch:
+            matrix: Gallery, k: int) -> pa.RecordBatch:
     rows, cols, score = _top(qmat, matrix, k)
     return pa.RecordBatch.from_arrays(
         [qids.take(pa.array(rows)), ids.take(pa.array(cols)), orders.take(pa.array(cols)),
@@ -176,8 +216,8 @@ def _blocked(q: DataFrame, g: DataFrame, k: int, q_blocks: int, g_blocks: int) -
                                          b["match_order"].slice(0, 0), pa.array([], pa.float64())],
                                         names=names)
         ids, orders = b["match_id"].combine_chunks(), b["match_order"].combine_chunks()
-        qids, qmat, gmat = a["query_id"].combine_chunks(), as_matrix(a["embedding"]), \
-            as_matrix(b["embedding"])
+        qids, qmat = a["query_id"].combine_chunks(), as_matrix(a["embedding"])
+        gmat = gallery_of(as_matrix(b["embedding"]), k)
         return pa.Table.from_batches(
             [_answer(qids.slice(i, n), qmat[i:i + n], ids, orders, gmat, k)
              for i, n in _slices(len(qmat), len(ids))])
