@@ -10,6 +10,7 @@ from doorledger.functions import objects as ob
 from doorledger.functions import outcomes as oc
 from doorledger.operators import features, generate, onboarding, pooling
 from doorledger.plans import recognition
+from doorledger.plans.onboarding import run_onboarding
 
 NOW = "2024-06-01 00:00:00"
 
@@ -175,6 +176,45 @@ def recognition_logs(spark, sf_dir):
                        F.round("confidence", 6).alias("confidence"), "timestamp")
 
 
+def _onboarded(spark, sf_dir):
+    """Each vector as a request with one image; a label's requests are for the same person."""
+    e = table(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("string")
+    ident = F.col("vec_id").cast("string")
+    reqs = e.select(
+        ident.alias("request_id"), F.col("vec_id").alias("seq"), label.alias("user_id"),
+        F.concat(F.lit("user "), label).alias("username"),
+        F.when(F.get("embedding", 0) > -0.15, F.concat(F.lit("mail "), label)).alias("email"),
+        F.concat(F.lit("by "), ident).alias("full_name"),
+        F.array(F.concat(F.lit("img_"), ident)).alias("image_paths"))
+    sure = (F.get("embedding", 1) + 0.95).cast("double")
+    face = F.struct(sure.alias("confidence"), F.lit(0).alias("x"), F.lit(0).alias("y"),
+                    F.lit(100).alias("w"), F.lit(100).alias("h"))
+    dets = e.select(ident.alias("request_id"), F.lit(0).alias("pos"), F.array(face).alias("faces"))
+    embs = e.select(ident.alias("request_id"), F.lit(0).alias("pos"),
+                    F.when(F.get("embedding", 2) < 0.15, F.col("embedding")).alias("embedding"))
+    at = F.lit("2024-01-01").cast("timestamp")
+    users = table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").cast("bigint").alias("id"), F.col("r_name").alias("uuid"),
+        F.concat(F.lit("mail "), F.col("r_regionkey").cast("string")).alias("email"),
+        F.concat(F.lit("user "), F.col("r_regionkey").cast("string")).alias("username"),
+        F.lit("old").alias("full_name"), F.lit(None).cast("string").alias("face_embedding"),
+        at.alias("created_at"), at.alias("updated_at"))
+    return run_onboarding(reqs, dets, embs, users, NOW)
+
+
+def onboarding_rejected(spark, sf_dir):
+    r = _onboarded(spark, sf_dir).rejected
+    return r.select("request_id", "stage")
+
+
+def onboarding_users(spark, sf_dir):
+    u = _onboarded(spark, sf_dir).users
+    first = F.get(F.from_json("face_embedding", "array<float>"), 0)
+    return u.select("username", "email", "full_name",
+                    F.round(first.cast("double"), 5).alias("x0"))
+
+
 def object_uri_parts(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
     uri = F.when(F.col("url").contains("ref="), F.regexp_replace("url", "^https?://", "s3://")) \
@@ -276,6 +316,12 @@ _STATUS = """CASE WHEN label = 2 THEN 'error' WHEN label = 0 THEN 'no_face'
   WHEN label = 1 THEN 'error' WHEN c >= 0.25 THEN 'success' ELSE 'no_match' END"""
 
 
+_ONBOARD = """staged AS (SELECT *, CASE
+    WHEN embedding[1] <= -0.15::DOUBLE THEN 'request'
+    WHEN CAST(embedding[2] + 0.95::FLOAT AS DOUBLE) < 0.9::DOUBLE THEN 'faces'
+    WHEN embedding[3] >= 0.15::DOUBLE THEN 'embedding' END AS stage FROM embeddings)"""
+
+
 def _recognised_sql() -> str:
     from doorledger.catalog.vectors import _TEMPLATES_SQL
     return f"""{_TEMPLATES_SQL}, s AS (
@@ -369,6 +415,16 @@ QUERIES = {
                'prediction' AS action, '10.0.0.1' AS source_ip, status AS prediction_status,
                confidence, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp"
         FROM r"""),
+    "onboarding_rejected": (onboarding_rejected, f"""WITH {_ONBOARD}
+        SELECT CAST(vec_id AS VARCHAR) AS request_id, stage FROM staged
+        WHERE stage IS NOT NULL"""),
+    "onboarding_users": (onboarding_users, f"""WITH {_ONBOARD},
+        last AS (SELECT label, arg_max(vec_id, vec_id) AS v, arg_max(embedding[1], vec_id) AS x
+                 FROM staged WHERE stage IS NULL GROUP BY 1),
+        ids AS (SELECT r_regionkey AS id FROM region UNION SELECT label FROM last)
+        SELECT 'user ' || id AS username, 'mail ' || id AS email,
+               coalesce('by ' || v, 'old') AS full_name, round(CAST(x AS DOUBLE), 5) AS x0
+        FROM ids LEFT JOIN last ON label = id"""),
     "object_uri_parts": (object_uri_parts, """WITH u AS (
         SELECT page_id, CASE
           WHEN contains(url, 'ref=') THEN regexp_replace(url, '^https?://', 's3://')

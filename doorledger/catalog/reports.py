@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from doorledger.catalog.tables import LOGS_SQL, access_logs, table
 from doorledger.functions import events as ev
 from doorledger.operators import summary
+from doorledger.session import scratch_dir
+from doorledger.sources import lake
 
 EDGES = (0.01, 0.025, 0.05, 0.1, 0.25, 0.5)
 
@@ -20,6 +22,14 @@ def daily_summary_total(spark, sf_dir):
     return summary.daily_summary(access_logs(spark, sf_dir), "2024-01").drop("processed_at")
 
 
+def daily_reports(spark, sf_dir):
+    """Every day's summary written as a report partition, and the reports read back."""
+    base = scratch_dir(spark, "reports")
+    days = summary.summary_by_day(access_logs(spark, sf_dir))
+    lake.write_daily_summary(days.withColumn("processed_at", F.lit("now")), base)
+    return lake.read_daily_summaries(spark, base).drop("processed_at")
+
+
 def status_counts(spark, sf_dir):
     return summary.status_counts(access_logs(spark, sf_dir))
 
@@ -126,6 +136,11 @@ QUERIES = {
                count(*) FILTER (action = 'prediction') AS total_predictions,
                count(DISTINCT user_id) AS unique_users
         FROM logs GROUP BY 1"""),
+    "daily_reports": (daily_reports, f"""WITH {LOGS_SQL}
+        SELECT strftime(event_ts, '%Y-%m-%d') AS date, count(*) AS total_events,
+               count(*) FILTER (action = 'prediction') AS total_predictions,
+               count(DISTINCT user_id) AS unique_users
+        FROM logs GROUP BY 1"""),
     "daily_summary_total": (daily_summary_total, f"""WITH {LOGS_SQL}
         SELECT '2024-01' AS date, count(*) AS total_events,
                count(*) FILTER (action = 'prediction') AS total_predictions,

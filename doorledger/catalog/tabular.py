@@ -176,6 +176,31 @@ def sustained_alert(spark, sf_dir):
                                             for c in ("start", "end", "fires_at")])
 
 
+def topic_throughput(spark, sf_dir):
+    """Event numbers as offsets of a topic (event type) with a partition per user."""
+    e = table(spark, sf_dir, "events")
+    offsets = e.select("event_type", "user_id", F.col("ts").cast("timestamp").alias("ts"),
+                       F.col("event_id").cast("double").alias("value"))
+    r = metrics.counter_rate(offsets, ["event_type", "user_id"], ["event_type"], "1 day", 86400)
+    return _hour(r, "event_type", F.round("increase", 6).alias("increase"),
+                 F.round("rate", 8).alias("rate"))
+
+
+def detection_rate(spark, sf_dir):
+    """Share of detections by flag in five-minute windows."""
+    t = _timed(spark, sf_dir)
+    yes = metrics.ratio_by_window(t, [], "5 minutes", F.col("value") >= 20, out="detected")
+    no = metrics.ratio_by_window(t, [], "5 minutes", F.col("value") < 20, out="no_face")
+    both = yes.join(no, "window_start")
+    return _hour(both, *[F.round(c, 6).alias(c) for c in ("detected", "no_face")])
+
+
+def standing_alert(spark, sf_dir):
+    """Users whose value stayed above 80 for five minutes or more."""
+    r = metrics.standing_alert(_timed(spark, sf_dir), ["user_id"], "HighCPUUsage")
+    return r.select("user_id", "samples", *[ev.iso_text(c).alias(c) for c in ("start", "end")])
+
+
 _F = """feats AS (SELECT CAST(user_id AS VARCHAR) AS employee_id, value AS score,
                          event_id AS version, ts FROM events)"""
 _ISO = "strftime({}, '%Y-%m-%dT%H:%M:%S.%f')"
@@ -284,4 +309,22 @@ QUERIES = {
         SELECT user_id, samples, {_ISO.format("a")} AS start, {_ISO.format("b")} AS "end",
                {_ISO.format("a + INTERVAL 2 HOUR")} AS fires_at
         FROM r WHERE b - a >= INTERVAL 2 HOUR"""),
+    "topic_throughput": (topic_throughput, f"""WITH d AS (
+        SELECT event_type, ts, CAST(event_id - lag(event_id) OVER (
+                 PARTITION BY event_type, user_id ORDER BY ts) AS DOUBLE) AS inc FROM events)
+        SELECT event_type, {_bucket("1 day")}, round(coalesce(sum(inc), 0), 6) AS increase,
+               round(coalesce(sum(inc), 0) / 86400, 8) AS rate FROM d GROUP BY 1, 2"""),
+    "detection_rate": (detection_rate, f"""
+        SELECT {_bucket("5 minutes")},
+               round(count(*) FILTER (value >= 20) * 100.0::DOUBLE / count(*), 6) AS detected,
+               round(count(*) FILTER (value < 20) * 100.0::DOUBLE / count(*), 6) AS no_face
+        FROM events GROUP BY 1"""),
+    "standing_alert": (standing_alert, f"""WITH s AS (
+        SELECT user_id, ts, value > 80 AS ok FROM events),
+        g AS (SELECT *, count(*) FILTER (NOT ok) OVER (PARTITION BY user_id ORDER BY ts) AS run
+              FROM s),
+        r AS (SELECT user_id, run, min(ts) AS a, max(ts) AS b, count(*) AS samples
+              FROM g WHERE ok GROUP BY 1, 2)
+        SELECT user_id, samples, {_ISO.format("a")} AS start, {_ISO.format("b")} AS "end"
+        FROM r WHERE b - a >= INTERVAL 5 MINUTE"""),
 }

@@ -82,16 +82,19 @@ def trailing_count(rows: DataFrame, keys: Sequence[str], ms: str, seq: str,
         *keys, F.col("at").alias(ms), F.col("seq").alias(seq), *back, out)
 
 
-def rule_rows(logs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Each event once per rule it counts for, with that rule's key, in one scan."""
+def rule_rows(logs: DataFrame, rules: Sequence[Rule], also: Sequence[str] = ()) -> DataFrame:
+    """Each event once per rule it counts for, with that rule's key, in one scan.
+
+    ``also`` names further columns to keep.
+    """
     hits = [F.when(r.predicate(), F.struct(
         F.lit(i).alias("rule"), r.key().alias("key"), F.lit(r.window_ms).cast("bigint")
         .alias("window_ms"))) for i, r in enumerate(rules)]
-    return (logs.select("event_ms", "ingest_seq", "timestamp",
+    return (logs.select("event_ms", "ingest_seq", "timestamp", *also,
                         ev.ip_key().alias("source_ip"), F.explode(F.array(*hits)).alias("h"))
             .where(F.col("h").isNotNull())
             .select("h.rule", "h.key", "h.window_ms", "event_ms", "ingest_seq", "source_ip",
-                    "timestamp"))
+                    "timestamp", *also))
 
 
 def _per_rule(rules: Sequence[Rule], pick: Callable[[Rule], Column]) -> Column:

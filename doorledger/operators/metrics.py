@@ -160,3 +160,26 @@ def sustained_alert(samples: DataFrame, keys: Sequence[str], holds: Column, seco
             .select(*keys, "start", "end", "samples",
                     (F.col("start") + F.make_dt_interval(secs=F.lit(float(seconds))))
                     .alias("fires_at")))
+
+
+# fixed values: standing conditions, as (comparison, limit, seconds it must hold)
+STANDING_CONDITIONS = {
+    "HighErrorRate": (">", 0.05, 300),
+    "HighLatency": (">", 1.0, 300),
+    "APIDown": ("==", 0.0, 120),
+    "LowFaceDetectionRate": ("<", 0.5, 600),
+    "HighMemoryUsage": (">", 0.9, 300),
+    "HighCPUUsage": (">", 80.0, 300),
+    "DatabaseConnectionFailure": ("==", 0.0, 60),
+    "KafkaHighLag": (">", 1000.0, 600),
+    "FlinkJobDown": ("==", 0.0, 120),
+}
+
+
+def standing_alert(samples: DataFrame, keys: Sequence[str], condition: str, ts: str = "ts",
+                   value: str = "value") -> DataFrame:
+    """Runs in which a named standing condition held long enough."""
+    comparison, limit, seconds = STANDING_CONDITIONS[condition]
+    v = F.col(value)
+    holds = {">": v > limit, "<": v < limit, "==": v == limit}[comparison]
+    return sustained_alert(samples, keys, holds, seconds, ts)

@@ -52,7 +52,11 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """The rows written to the shared checkpoint folder, so that several results can start
-    from them without computing them again; they survive the loss of executors."""
-    scratch_dir(df.sparkSession, "stage")  # names the folder where the session has none
-    return df.checkpoint()
+    """The rows written as a table in the shared checkpoint folder and read back.
+
+    Several results can start from them without computing them again, readers fetch only the
+    columns they need, and the loss of executors costs nothing.
+    """
+    path = scratch_dir(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

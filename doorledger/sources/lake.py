@@ -109,12 +109,11 @@ def apply_retention(candidates: DataFrame, dry_run: bool = True) -> dict[str, in
 def dataset_manifest(spark: SparkSession, base: str, logs: DataFrame) -> DataFrame:
     """Written records, files, bytes, users and time range of a generated or ingested lake."""
     files = list_objects(spark, base, glob=LOG_FILES).agg(
-        F.count(F.lit(1)).alias("total_files"),
-        F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"))
-    facts = logs.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    return logs.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_distinct(F.when(F.col("user_id") != "anonymous", F.col("user_id")))
         .alias("num_users"),
-        F.min("timestamp").alias("first_timestamp"), F.max("timestamp").alias("last_timestamp"))
-    # one row each
-    return facts.crossJoin(F.broadcast(files)).withColumn("generated_at", F.current_timestamp())
+        F.min("timestamp").alias("first_timestamp"), F.max("timestamp").alias("last_timestamp"),
+    ).withColumns({"total_files": F.lit(files[0]), "total_bytes": F.lit(files[1]),
+                   "generated_at": F.current_timestamp()})

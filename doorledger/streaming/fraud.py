@@ -88,7 +88,9 @@ def count_stream(rows: DataFrame, rules: Sequence[Rule], evict_idle: bool = Fals
             yield pd.DataFrame({"rule": key[0], "key": key[1], "source_ip": hit["source_ip"],
                                 "timestamp": hit["timestamp"], "count": counts[over]})
 
-    return (rows.select("rule", "key", "event_ms", "ingest_seq", "source_ip", "timestamp")
+    # the event time is kept so that the operator knows the watermark
+    return (rows.select("rule", "key", "event_ms", "ingest_seq", "source_ip", "timestamp",
+                        "event_ts")
             .groupBy("rule", "key")
             .applyInPandasWithState(step, _OUT, _STATE, "append",
                                     GroupStateTimeout.ProcessingTimeTimeout if evict_idle
@@ -102,7 +104,8 @@ def fraud_stream(events: DataFrame, rules: Sequence[Rule] | None = None,
     marked = events.withWatermark("event_ts", watermark)
     if "ingest_seq" not in events.columns:
         marked = marked.withColumn("ingest_seq", F.lit(0).cast("bigint"))
-    return alerts_from_counts(count_stream(rule_rows(marked, rules), rules, evict_idle), rules)
+    return alerts_from_counts(count_stream(rule_rows(marked, rules, ["event_ts"]), rules,
+                                           evict_idle), rules)
 
 
 def fraud_job(values: DataFrame, rules: Sequence[Rule] | None = None, watermark: str = WATERMARK,

@@ -168,11 +168,34 @@ def test_late_event_is_counted(spark, tmp_path):
     assert sorted(a["count"] for a in got) == [3, 4]
 
 
-def test_state_handler_forgets_idle_keys():
-    """The eviction branch, called directly: kept until event time has passed the window."""
+def test_state_is_one_entry_per_millisecond():
     import numpy as np
     from doorledger.streaming import fraud
     ms, n = fraud._remaining(np.array([1, 5]), np.array([2, 1]), np.array([5, 9]), 6)
     assert (ms, n) == ([5, 9], [2, 1])
     counts = fraud.trailing_counts(np.array([1, 5]), np.array([2, 1]), np.array([5, 9]), 6)
     assert counts.tolist() == [4, 3]
+
+
+def test_idle_keys_are_forgotten(spark, tmp_path):
+    """A key is dropped once event time has passed its window, the newest key stays."""
+    import time
+    src = tmp_path / "in"
+    src.mkdir()
+    rows = [(0, "a", 1000, "ip", "success"), (1, "b", 3_600_000, "ip", "success")]
+    (src / "0.txt").write_text("\n".join(_values(rows)) + "\n")
+    values = spark.readStream.format("text").load(str(src))
+    q = alert_sink(fraud_job(values, rules=[detect.spam_rule(0, 1)], evict_idle=True),
+                   {"format": "parquet", "path": str(tmp_path / "out")}, str(tmp_path / "cp"),
+                   {"processingTime": "0 seconds"})
+    try:
+        keys, until = [], time.time() + 90
+        while time.time() < until and (not keys or keys[-1] != 1):
+            time.sleep(1)
+            assert q.exception() is None
+            keys = [p.stateOperators[0].numRowsTotal for p in q.recentProgress
+                    if p.stateOperators]
+        assert 2 in keys and keys[-1] == 1
+    finally:
+        q.stop()
+    assert spark.read.schema("value string").parquet(str(tmp_path / "out")).count() == 2
