@@ -60,8 +60,8 @@ def ambiguous_requests(requests: DataFrame, users: DataFrame) -> DataFrame:
 
 def _without(rows: DataFrame, taken: DataFrame) -> DataFrame:
     """Rows that share neither username nor email with ``taken``."""
-    return (rows.join(taken.select("username").distinct(), "username", "left_anti")
-            .join(taken.select("email").distinct(), "email", "left_anti"))
+    return (rows.join(taken.select("username"), "username", "left_anti")
+            .join(taken.select("email"), "email", "left_anti"))
 
 
 def _new_users(registrations: DataFrame, users: DataFrame) -> DataFrame | None:

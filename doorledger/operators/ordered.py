@@ -27,6 +27,18 @@ def block_of(ms: Column | str, width: int) -> Column:
     return ms - F.pmod(ms, F.lit(width))
 
 
+def fitting_block_ms(rows: DataFrame, keys: Sequence[str], ms: str,
+                     most_rows: int = 5_000_000, widest: int = HOUR_MS) -> int:
+    """Block width at which the densest (key, block) holds about ``most_rows`` rows.
+
+    One narrow scan, reduced before its shuffle. For data that is denser than usual, such as a
+    day in which one key sends a large share of everything; pass the result as ``block_ms``.
+    """
+    counts = rows.groupBy(*keys, block_of(ms, widest)).agg(F.count(F.lit(1)).alias("_n"))
+    densest = counts.agg(F.coalesce(F.max("_n"), F.lit(0))).first()[0]
+    return max(1, min(widest, widest * most_rows // max(1, densest)))
+
+
 def _join_blocks(rows: DataFrame, blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
     # plain equality, so that the join takes over the partitioning and order of the window
     return rows.join(blocks, [*keys, _BLK], "left")

@@ -24,6 +24,7 @@ from doorledger.functions.vectors import effective_threshold
 
 BROADCAST_BYTES = 64 << 20
 BLOCK_BYTES = 32 << 20
+_RESULT = ["query_id", "match_id", "match_order", "score"]
 
 
 def as_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -138,8 +139,9 @@ def _share(g: DataFrame, k: int):
 
 
 def _small(q: DataFrame, g: DataFrame, k: int) -> DataFrame:
-    """Top k with a shared gallery, batch by batch."""
+    """Ranked top k with a shared gallery, batch by batch and without a shuffle."""
     packed = _share(g, k)
+    schema = _result_schema(q, g).add("rank", T.IntegerType())
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix, ids, orders = packed.value
@@ -148,11 +150,13 @@ def _small(q: DataFrame, g: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             for at, n in _slices(batch.num_rows, len(ids)):
                 part = batch.slice(at, n)
-                yield _answer(part["query_id"], as_matrix(part["embedding"]), ids, orders,
-                              matrix, k)
+                rows, cols, score = _top(as_matrix(part["embedding"]), matrix, k)
+                rank = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") + 1
+                yield pa.RecordBatch.from_arrays(
+                    [*_named(part["query_id"], ids, orders, rows, cols), pa.array(score),
+                     pa.array(rank.astype(np.int32))], names=[*_RESULT, "rank"])
 
-    return (q.where(F.col("embedding").isNotNull())
-            .mapInArrow(search, _result_schema(q, g)))
+    return q.where(F.col("embedding").isNotNull()).mapInArrow(search, schema)
 
 
 def _small_best(q: DataFrame, g: DataFrame, carry: Sequence[str]) -> DataFrame:
@@ -190,8 +194,14 @@ def _answer(qids: pa.Array, qmat: np.ndarray, ids: pa.Array, orders: pa.Array,
             matrix: Gallery, k: int) -> pa.RecordBatch:
     rows, cols, score = _top(qmat, matrix, k)
     return pa.RecordBatch.from_arrays(
-        [qids.take(pa.array(rows)), ids.take(pa.array(cols)), orders.take(pa.array(cols)),
-         pa.array(score)], names=["query_id", "match_id", "match_order", "score"])
+        [*_named(qids, ids, orders, rows, cols), pa.array(score)], names=_RESULT)
+
+
+def _named(qids: pa.Array, ids: pa.Array, orders: pa.Array, rows: np.ndarray, cols: np.ndarray
+           ) -> list[pa.Array]:
+    """Ids of the found query and gallery rows."""
+    at, to = pa.array(rows, pa.int64()), pa.array(cols, pa.int64())
+    return [qids.take(at), ids.take(to), orders.take(to)]
 
 
 def _blocked(q: DataFrame, g: DataFrame, k: int, q_blocks: int, g_blocks: int) -> DataFrame:
@@ -206,7 +216,6 @@ def _blocked(q: DataFrame, g: DataFrame, k: int, q_blocks: int, g_blocks: int) -
             .withColumn("qb", place("query_id", q_blocks)).withColumn("gb", every(g_blocks)))
     right = g.withColumn("gb", place("match_id", g_blocks)).withColumn("qb", every(q_blocks))
 
-    names = ["query_id", "match_id", "match_order", "score"]
     schema = _result_schema(q, g)
 
     def search(a: pa.Table, b: pa.Table) -> pa.Table:
@@ -214,7 +223,7 @@ def _blocked(q: DataFrame, g: DataFrame, k: int, q_blocks: int, g_blocks: int) -
         if a.num_rows == 0 or b.num_rows == 0:
             return pa.Table.from_arrays([a["query_id"].slice(0, 0), b["match_id"].slice(0, 0),
                                          b["match_order"].slice(0, 0), pa.array([], pa.float64())],
-                                        names=names)
+                                        names=_RESULT)
         ids, orders = b["match_id"].combine_chunks(), b["match_order"].combine_chunks()
         qids, qmat = a["query_id"].combine_chunks(), as_matrix(a["embedding"])
         gmat = gallery_of(as_matrix(b["embedding"]), k)
@@ -229,9 +238,7 @@ def _blocked(q: DataFrame, g: DataFrame, k: int, q_blocks: int, g_blocks: int) -
         best = F.min(F.struct((-F.col("score")).alias("s"), "match_order", "match_id"))
         return (partial.groupBy("query_id").agg(best.alias("b"))
                 .select("query_id", "b.match_id", "b.match_order", (-F.col("b.s")).alias("score")))
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "match_order")
-    return (partial.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= k)
-            .drop("_n"))
+    return partial
 
 
 def _measure(g: DataFrame) -> tuple[int, int]:
@@ -282,10 +289,12 @@ def top_k_matches(queries: DataFrame, gallery: DataFrame, k: int, query_id: str
     """The k highest cosines per query, ranked from 1."""
     q, g = _prepare(queries, gallery, query_id, gallery_id, gallery_order)
     size, width = _measure(g)
-    found = (_small(q, g, k) if _fits(size, width, broadcast_bytes)
-             else _large(q, g, k, size, width, block_bytes))
+    if _fits(size, width, broadcast_bytes):
+        return _small(q, g, k).select("query_id", "rank", "match_id", "score")
+    found = _large(q, g, k, size, width, block_bytes)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "match_order")
-    return found.select("query_id", F.row_number().over(w).alias("rank"), "match_id", "score")
+    return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .select("query_id", "rank", "match_id", "score"))
 
 
 def gallery_with_fallback(online: DataFrame, offline: DataFrame) -> DataFrame:

@@ -32,6 +32,18 @@ def test_trailing_count_equals_replay(spark, block_ms):
     assert got == replay(rows, 10_000)
 
 
+def test_dense_keys_get_shorter_blocks(spark):
+    from doorledger.operators.ordered import fitting_block_ms
+    df = spark.createDataFrame([("hot", i * 10, i) for i in range(2000)] + [("cold", 5, 9999)],
+                               "key string, ms bigint, seq bigint")
+    width = fitting_block_ms(df, ["key"], "ms", most_rows=100)
+    assert width == 180_000
+    assert fitting_block_ms(df, ["key"], "ms") == 3_600_000
+    counts = detect.trailing_count(df, ["key"], "ms", "seq", 200_000, block_ms=width)
+    assert {r.seq: r["count"] for r in counts.collect()} == replay(
+        [(r.key, r.ms, r.seq) for r in df.collect()], 200_000)
+
+
 def _logs(spark, rows):
     return spark.createDataFrame(
         rows, "ingest_seq bigint, user_id string, action string, source_ip string, "
