@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
 _RUNTIME = {
     # naive ISO strings and timestamp_ntz columns are read as UTC
     "spark.sql.session.timeZone": "UTC",
@@ -36,6 +40,22 @@ def get_session(app: str = "doorledger", master: str | None = None,
     return configure(builder.getOrCreate())
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, wherever the driver was started.
+
+    Once per Spark application; not needed when the job is submitted with the package as a
+    Python file or it is installed on the cluster.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="doorledger-")) / "doorledger"
+    archive = shutil.make_archive(str(target), "zip", root.parent, root.name)
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the cluster's shared checkpoint folder.
 
