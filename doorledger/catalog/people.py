@@ -143,7 +143,7 @@ def verify_registration(spark, sf_dir):
 
 def _recognised(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    g = pooling.pool_embeddings(e, "label").select(
+    g = pooling.pool_embeddings(e, "label", "vec_id").select(
         (F.col("label") + 1).cast("bigint").alias("match_id"), "embedding")
     reqs = e.select(
         F.col("vec_id").cast("string").alias("prediction_id"),
@@ -269,7 +269,7 @@ def pushed_features(spark, sf_dir):
     at = F.lit("2024-01-01").cast("timestamp")
     old = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("embedding"))
     base = features.embedding_rows(old, "label", at)
-    pooled = pooling.pool_embeddings(e, "label")
+    pooled = pooling.pool_embeddings(e, "label", "vec_id")
     new = features.embedding_rows(pooled, "label", F.when(
         F.col("images") > 50, F.lit("2024-02-01")).otherwise("2023-02-01").cast("timestamp"))
     history, online = features.push(new, base, base)
@@ -483,7 +483,7 @@ QUERIES = {
                 FROM embeddings GROUP BY 1),
         new AS (SELECT label, CAST(median(CAST(embedding[1] AS DOUBLE)) AS FLOAT) AS x
                 FROM embeddings GROUP BY 1)
-        SELECT CAST(old.label AS VARCHAR) AS employee_id, 2 AS history,
+        SELECT CAST(old.label AS VARCHAR) AS employee_id, CAST(2 AS BIGINT) AS history,
                CASE WHEN newer THEN '2024-02-01' ELSE '2024-01-01' END AS day,
                round(CAST(CASE WHEN newer THEN new.x ELSE old.x END AS DOUBLE), 5) AS x0
         FROM old JOIN new ON old.label = new.label"""),

@@ -14,7 +14,7 @@ def _emb(spark, sf_dir):
 
 
 def _templates(spark, sf_dir):
-    return pooling.pool_embeddings(_emb(spark, sf_dir), "label")
+    return pooling.pool_embeddings(_emb(spark, sf_dir), "label", "vec_id")
 
 
 def _with_template(spark, sf_dir):
@@ -122,7 +122,7 @@ QUERIES = {
                row_number() OVER (PARTITION BY a.vec_id
                  ORDER BY list_cosine_similarity(a.e, b.e) DESC, b.vec_id) AS n
         FROM emb a, emb b)
-        SELECT q AS query_id, n AS rank, m AS match_id, round(c, 6) AS score
+        SELECT q AS query_id, CAST(n AS INTEGER) AS rank, m AS match_id, round(c, 6) AS score
         FROM s WHERE n <= 5"""),
     "best_match_blocked": (best_match_blocked, f"""WITH {_TEMPLATES_SQL}, s AS (
         SELECT a.vec_id AS q, b.vec_id AS m, list_cosine_similarity(a.e, b.e) AS c,

@@ -90,6 +90,8 @@ def rule_rows(logs: DataFrame, rules: Sequence[Rule], also: Sequence[str] = ())
     hits = [F.when(r.predicate(), F.struct(
         F.lit(i).alias("rule"), r.key().alias("key"), F.lit(r.window_ms).cast("bigint")
         .alias("window_ms"))) for i, r in enumerate(rules)]
+    if "ingest_seq" not in logs.columns:  # events of one millisecond then come in any order
+        logs = logs.withColumn("ingest_seq", F.lit(0).cast("bigint"))
     return (logs.select("event_ms", "ingest_seq", "timestamp", *also,
                         ev.ip_key().alias("source_ip"), F.explode(F.array(*hits)).alias("h"))
             .where(F.col("h").isNotNull())

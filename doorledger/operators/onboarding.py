@@ -74,11 +74,9 @@ def _new_users(registrations: DataFrame, users: DataFrame) -> DataFrame | None:
     pending = settled(_without(registrations.select("seq", "username", "email"), users))
     won: DataFrame | None = None
     while not pending.isEmpty():
-        first_name = pending.groupBy("username").agg(F.min("seq").alias("_n"))
-        first_mail = pending.groupBy("email").agg(F.min("seq").alias("_m"))
-        winners = settled(pending.join(first_name, "username").join(first_mail, "email")
-                          .where((F.col("seq") == F.col("_n")) & (F.col("seq") == F.col("_m")))
-                          .select("seq", "username", "email"))
+        first_name = pending.groupBy("username").agg(F.min("seq").alias("seq"))
+        first_mail = pending.groupBy("email").agg(F.min("seq").alias("seq"))
+        winners = settled(first_name.join(first_mail, "seq").select("seq", "username", "email"))
         won = winners if won is None else won.unionByName(winners)
         pending = settled(_without(pending, winners))
     return won

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from doorledger.functions import vectors as v
 from doorledger.operators.similarity import as_matrix
+from doorledger.operators.skew import attach, large_keys
 
 # fixed value of the onboarding rules
 MAX_DISTANCE = 0.4
@@ -30,14 +31,18 @@ def _sizes(images: DataFrame, key: str) -> DataFrame:
 
 # --- median -----------------------------------------------------------------------------
 
-def pool_embeddings(images: DataFrame, key: str = "request_id",
+def pool_embeddings(images: DataFrame, key: str = "request_id", pos: str = "pos",
                     group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """(key, embedding array<float>, images): element-wise median of each request's vectors."""
+    """(key, embedding array<float>, images): element-wise median of each request's vectors.
+
+    ``pos`` tells a request's images apart when they are spread over tasks; without such a
+    column their vectors do.
+    """
+    apart = F.col(pos) if pos in images.columns else F.xxhash64("embedding")
     images = images.where(F.col("embedding").isNotNull()).select(
-        key, F.col("embedding").cast("array<float>").alias("embedding"))
-    sizes = _sizes(images, key)
-    large = sizes.where(F.col("_n") > group_limit)
-    if large.isEmpty():
+        key, F.col("embedding").cast("array<float>").alias("embedding"), apart.alias("_pos"))
+    large = large_keys(images, key, group_limit)
+    if large is None:
         return _pool_small(images, key)
     small = images.join(large.select(key), key, "left_anti")
     return _pool_small(small, key).unionByName(_pool_large(images, large, key))
@@ -62,7 +67,8 @@ def _pool_small(images: DataFrame, key: str) -> DataFrame:
         if tail is not None and tail.num_rows:
             yield _pool_table(tail, key, np.array([0]))
 
-    return (images.repartition(key).sortWithinPartitions(key).mapInArrow(pool, schema))
+    return (images.select(key, "embedding").repartition(key).sortWithinPartitions(key)
+            .mapInArrow(pool, schema))
 
 
 def _starts(col: pa.ChunkedArray) -> np.ndarray:
@@ -142,7 +148,8 @@ def _histogram(images: DataFrame, key: str, wanted: bool) -> DataFrame:
                      pa.array((cells & 0xFFFF).astype(np.int32)), pa.array(n)],
                     names=[key, "_pos", "_hi", "_lo", "_cnt"])
 
-    return (images.mapInArrow(count, schema)
+    columns = [key, "embedding", *(("_w1", "_w2") if wanted else ())]
+    return (images.select(*columns).mapInArrow(count, schema)
             .groupBy(key, "_pos", "_hi", "_lo").agg(F.sum("_cnt").alias("_cnt")))
 
 
@@ -170,11 +177,11 @@ def _pool_large(images: DataFrame, large: DataFrame, key: str) -> DataFrame:
         e for i in (1, 2) for e in (
             F.max(F.when(holds(f"_r{i}"), F.col("_hi"))).alias(f"_h{i}"),
             F.max(F.when(holds(f"_r{i}"), F.col(f"_r{i}") - F.col("_below"))).alias(f"_k{i}"))])
-    # one short row per request, joined to its images; the skewed side is split by AQE
+    # one short row per request, joined to its images
     wanted = pick.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("_pos", "_h1", "_h2"))).alias("_p")).select(
         key, F.col("_p._h1").alias("_w1"), F.col("_p._h2").alias("_w2"))
-    lower = _histogram(mine.join(wanted, key), key, True)
+    lower = _histogram(attach(mine, wanted, key, large, "_pos"), key, True)
     upto = (Window.partitionBy(key, "_pos", "_hi").orderBy("_lo")
             .rowsBetween(Window.unboundedPreceding, -1))
     lower = (lower.withColumn("_below", F.coalesce(F.sum("_cnt").over(upto), F.lit(0)))
@@ -204,7 +211,8 @@ def _pool_large(images: DataFrame, large: DataFrame, key: str) -> DataFrame:
 # --- same person ------------------------------------------------------------------------
 
 def same_person(images: DataFrame, key: str = "request_id", pos: str = "pos",
-                max_distance: float = MAX_DISTANCE, block_rows: int = 4096) -> DataFrame:
+                max_distance: float = MAX_DISTANCE, block_rows: int = 4096,
+                group_limit: int = GROUP_LIMIT) -> DataFrame:
     """Per request: is every pair of its images within ``max_distance``, and if not, the
     first offending pair (i, j) in upload order with its cosine distance.
 
@@ -219,7 +227,8 @@ def same_person(images: DataFrame, key: str = "request_id", pos: str = "pos",
     usable = rows.where(v.norm("embedding") > 0)
     first = usable.groupBy(key).agg(
         F.min_by(F.struct(F.col("_pos").alias("p"), "embedding"), "_pos").alias("_first"))
-    near = (usable.join(first, key)
+    large = large_keys(rows, key, group_limit)
+    near = (attach(usable, first, key, large, "_pos")
             .withColumn("_d", v.cosine_distance("_first.embedding", "embedding")))
     far = (F.col("_d") > max_distance) & (F.col("_pos") > F.col("_first.p"))
     verdict = near.groupBy(key).agg(
@@ -233,10 +242,10 @@ def same_person(images: DataFrame, key: str = "request_id", pos: str = "pos",
 
     open_ = (verdict.where(F.col("_bad").isNull() & (2 * angle(F.col("_reach")) > limit - _EDGE))
              .select(key, angle(F.col("_reach")).alias("_a")))
-    rest = (near.join(open_, key)
+    rest = (attach(near, open_, key, large, "_pos")
             .where(angle(F.col("_d")) + F.col("_a") > limit - _EDGE)
             .select(key, "_pos", "embedding"))
-    pairs = _first_far_pair(rest, key, max_distance, block_rows)
+    pairs = _first_far_pair(rest, key, max_distance, block_rows, large)
     sizes = _sizes(rows, key)
     return (sizes.join(verdict.select(key, "_bad"), key, "left").join(pairs, key, "left")
             .withColumn("_b", F.coalesce("_bad", "_pair"))
@@ -246,13 +255,14 @@ def same_person(images: DataFrame, key: str = "request_id", pos: str = "pos",
 
 
 def _first_far_pair(rest: DataFrame, key: str, max_distance: float,
-                    block_rows: int) -> DataFrame:
+                    block_rows: int, large: DataFrame | None) -> DataFrame:
     """First offending pair per request. The request's rows are dealt into blocks of about
     ``block_rows``; each pair of blocks is one group, which returns at most one pair."""
-    dealt = (rest.join(rest.groupBy(key).agg(
-        F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_nb")), key)
-        .withColumn("_blk", F.pmod(F.xxhash64("_pos"), F.col("_nb")).cast("int"))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))))
+    blocks = rest.groupBy(key).agg(
+        F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_nb"))
+    dealt = (attach(rest, blocks, key, large, "_pos")
+             .withColumn("_blk", F.pmod(F.xxhash64("_pos"), F.col("_nb")).cast("int"))
+             .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))))
     cells = dealt.select(key, "_pos", "embedding", "_blk",
                          F.least("_blk", "_other").alias("_c1"),
                          F.greatest("_blk", "_other").alias("_c2"))

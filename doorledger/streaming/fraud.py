@@ -16,7 +16,6 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from doorledger.functions.events import alert_json, log_events
@@ -102,8 +101,6 @@ def fraud_stream(events: DataFrame, rules: Sequence[Rule] | None = None,
     """Flat events (with ``event_ts``) to alerts."""
     rules = list(rules) if rules is not None else [spam_rule(), brute_force_rule()]
     marked = events.withWatermark("event_ts", watermark)
-    if "ingest_seq" not in events.columns:
-        marked = marked.withColumn("ingest_seq", F.lit(0).cast("bigint"))
     return alerts_from_counts(count_stream(rule_rows(marked, rules, ["event_ts"]), rules,
                                            evict_idle), rules)
 
