@@ -211,7 +211,7 @@ def _pool_large(images: DataFrame, large: DataFrame, key: str) -> DataFrame:
 # --- same person ------------------------------------------------------------------------
 
 def same_person(images: DataFrame, key: str = "request_id", pos: str = "pos",
-                max_distance: float = MAX_DISTANCE, block_rows: int = 4096,
+                max_distance: float = MAX_DISTANCE, block_rows: int = 2048,
                 group_limit: int = GROUP_LIMIT) -> DataFrame:
     """Per request: is every pair of its images within ``max_distance``, and if not, the
     first offending pair (i, j) in upload order with its cosine distance.
@@ -274,12 +274,26 @@ def _first_far_pair(rest: DataFrame, key: str, max_distance: float,
         m = as_matrix(t["embedding"])
         m = m / np.linalg.norm(m, axis=1)[:, None]
         left, right = np.flatnonzero(blk == c1), np.flatnonzero(blk == c2)
-        d = 1.0 - m[left] @ m[right].T
-        a, b = np.nonzero((d > max_distance) & (p[left][:, None] != p[right][None, :]))
+        # single precision finds candidates, with twice its error bound as margin
+        small = m.astype(np.float32)
+        margin = 2 * (m.shape[1] + 16) * 6e-8
+        far = small[left] @ small[right].T < np.float32(1 - max_distance + margin)
+        if c1[0] == c2[0]:
+            np.fill_diagonal(far, False)
+        a, b = np.nonzero(far)
+        # in order of (i, j), so that the first candidate that holds is the first pair
         i, j = np.minimum(p[left][a], p[right][b]), np.maximum(p[left][a], p[right][b])
-        one = np.lexsort((j, i))[:1]
+        order = np.lexsort((j, i))
+        for at in range(0, len(order), block_rows):
+            some = order[at:at + block_rows]
+            d = 1.0 - (m[left[a[some]]] * m[right[b[some]]]).sum(axis=1)
+            hit = np.flatnonzero(d > max_distance)[:1]
+            if len(hit):
+                break
+        one = some[hit] if len(order) else order
+        d = d[hit] if len(order) else np.array([])
         return pa.table([t[key].slice(0, len(one)), pa.array(i[one], pa.int64()),
-                         pa.array(j[one], pa.int64()), pa.array(d[a[one], b[one]])],
+                         pa.array(j[one], pa.int64()), pa.array(d, pa.float64())],
                         names=[key, "i", "j", "d"])
 
     hits = cells.groupBy(key, "_c1", "_c2").applyInArrow(compare, schema)
