@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doorledger.llm import exact_dedup, toxicity
+from doorledger.llm import exact_dedup, near_dedup, toxicity
 from doorledger.llm.common import table
 
 
@@ -21,7 +21,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
-STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return near_dedup.drop_near_copies(docs)
+
+
+STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies)]
 
 #: a boosted model and a tokenizer take part, which SQL cannot express
 ORACLE_SQL = None

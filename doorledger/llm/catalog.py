@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 
 from doorledger.llm.common import fold, table
 from doorledger.llm.exact_dedup import exact_groups
+from doorledger.llm.near_dedup import near_groups
 from doorledger.llm.toxicity import score, train
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "component_id", "kept")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
@@ -31,6 +37,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_minhash_near_dedup": (op3_minhash_near_dedup, None),
     "op5_exact_dedup": (op5_exact_dedup, SQL5),
     "op8_toxicity": (op8_toxicity, None),
 }
