@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doorledger.llm import exact_dedup, near_dedup, toxicity
-from doorledger.llm.common import table
+from doorledger.llm import exact_dedup, near_dedup, packing, suffix_dedup, toxicity
+from doorledger.llm.catalog import tokenizer_file
+from doorledger.llm.common import stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +27,18 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return near_dedup.drop_near_copies(docs)
 
 
-STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies)]
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes of 200-byte strings that start elsewhere too."""
+    return suffix_dedup.remove_repeats(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of at most 4096 tokens."""
+    return packing.packed(docs, tokenizer_file()).withColumnRenamed("id", "doc_id")
+
+
+STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies),
+          ("suffix_dedup", cut_repeats), ("packing", pack)]
 
 #: a boosted model and a tokenizer take part, which SQL cannot express
 ORACLE_SQL = None
@@ -34,8 +46,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to documents, each stored in the shared folder before the next reads it."""
-    from doorledger.llm.common import stored
-
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))

@@ -5,12 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from doorledger.llm.bpe import round_trip_digests
 from doorledger.llm.common import fold, table
 from doorledger.llm.exact_dedup import exact_groups
 from doorledger.llm.near_dedup import near_groups
+from doorledger.llm.packing import packed
+from doorledger.llm.suffix_dedup import digests
 from doorledger.llm.toxicity import score, train
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_file()).withColumnRenamed("id", "doc_id")
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "component_id", "kept")
@@ -28,6 +41,10 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM t WINDOW g AS (PARTITION BY norm)"""
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs, table(spark, sf_dir, "labels"))
@@ -36,8 +53,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), tokenizer_file()).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
+    "op1_bpe_round_trip": (op1_bpe_round_trip, None),
     "op3_minhash_near_dedup": (op3_minhash_near_dedup, None),
     "op5_exact_dedup": (op5_exact_dedup, SQL5),
+    "op7_suffix_dedup": (op7_suffix_dedup, None),
     "op8_toxicity": (op8_toxicity, None),
+    "op10_best_fit_packing": (op10_best_fit_packing, None),
 }

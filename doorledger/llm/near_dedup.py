@@ -8,8 +8,9 @@ banded; rows that share a band are compared by their exact weighted Jaccard simi
 links of ``SIMILARITY`` or more join rows into groups.
 
 Rows of equal shingles are one class from the start. Each band bucket first compares all members with one
-of them; where that leaves a bucket in several groups, the pairs across the groups follow, picked
-by their samples inside tasks and dealt in blocks. So no link between candidates is lost, and
+of them; where that leaves a bucket in several groups, the rows that agree in enough samples with a row
+of another group are compared block by block inside tasks, which emit no more than one
+edge per row and group. So no link between candidates is lost, and
 a bucket of mutual copies costs one comparison per member.
 
 Null, empty and wordless texts are similar to nothing, each is a group of its own. Rows may repeat ids; of a group the
@@ -26,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from doorledger.llm.common import RID, connected_components, map_rows, numbered, shuffle_parts, stored
+from doorledger.llm.common import RID, connected_components, groups, map_rows, numbered, shuffle_parts, stored
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 14, 3
@@ -34,7 +35,7 @@ DF_BUCKETS = 1 << 18
 #: a pair of similarity 0.8 agrees in fewer than this many of 42 samples once in 10^6 times
 AGREE = 20
 #: rows of a bucket that are compared as one block
-BLOCK = 4096
+BLOCK = 1024
 _CHUNK = 1 << 20
 
 _K = BANDS * ROWS
@@ -230,7 +231,7 @@ def _linked(docs: DataFrame, pairs: DataFrame, text_col: str, idf) -> DataFrame:
     need = salted.join(per, "a").select(F.col("b").alias(RID), "a", F.pmod("_s", "_n").alias("_s"))
     heads = need.select(F.col("a").alias(RID), "a", "_s").distinct()
     rows = (numbered(docs).select(RID, F.col(text_col).cast("string").alias("_text"))
-            .join(need.union(heads), RID))
+            .join(need.union(heads).hint("merge"), RID))
 
     def verify(batches):
         group, base = None, None
@@ -268,39 +269,123 @@ def shared_weight(h1: np.ndarray, w1: np.ndarray, h2: np.ndarray, w2: np.ndarray
 
 
 def _across(buckets: DataFrame, reps: DataFrame, groups_: DataFrame) -> DataFrame:
-    """Pairs of rows that share a bucket, lie in different groups and agree in enough samples."""
+    """Rows of buckets that lie in several groups, with each block pair (cell) in which some row
+    of another group agrees with them in enough samples: (key, _x, _y, _b, _rid, group)."""
     rows = buckets.join(groups_, RID, "left").withColumn("group", F.coalesce("group", RID))
     mixed = (rows.groupBy("key").agg(F.min("group").alias("_lo"), F.max("group").alias("_hi"), F.count("*").alias("_m"))
              .where("_lo <> _hi").select("key", F.ceil(F.col("_m") / BLOCK).alias("_nb")))
-    own = F.pmod(F.xxhash64(RID), F.col("_nb"))
-    dealt = (rows.join(mixed, "key").join(reps.select(RID, "sketch"), RID).withColumn("_b", own)
+    dealt = (rows.join(mixed, "key").join(reps.select(RID, "sketch").hint("merge"), RID)
+             .withColumn("_b", F.pmod(F.xxhash64(RID), F.col("_nb")))
              .withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nb") - 1)))
              .select("key", F.least("_b", "_j").alias("_x"), F.greatest("_b", "_j").alias("_y"), "_b", RID, "group", "sketch"))
 
     def run(batches):
-        from doorledger.llm.common import groups
-
-        def celled(bs):
-            for b in bs:
-                cell = list(zip(*(b[c].to_pylist() for c in ("key", "_x", "_y")), strict=True))
-                yield {"cell": pa.array([str(c) for c in cell]), **{c: b[c] for c in ("_x", "_y", "_b", RID, "group", "sketch")}}
-
-        for g in groups(celled(batches), "cell"):
+        for g in _cells(batches):
             s = np.frombuffer(b"".join(g["sketch"]), np.uint32).reshape(-1, _K)
-            rid, grp, block = np.array(g[RID]), np.array(g["group"]), np.array(g["_b"])
-            same_cell = g["_x"][0] == g["_y"][0]
-            left = np.flatnonzero(block == g["_x"][0])
-            right = left if same_cell else np.flatnonzero(block == g["_y"][0])
+            grp, near = np.array(g["group"]), np.zeros(len(s), bool)
+            left, right = _sides(g)
             for i in left:
-                other = right[rid[right] > rid[i]] if same_cell else right
-                other = other[grp[other] != grp[i]]
-                hit = other[(s[other] == s[i]).sum(1) >= AGREE]
-                if len(hit):
-                    lo, hi = np.minimum(rid[hit], rid[i]), np.maximum(rid[hit], rid[i])
-                    yield {"a": lo, "b": hi}
+                hit = right[((s[right] == s[i]).sum(1) >= AGREE) & (grp[right] != grp[i])]
+                near[i] |= len(hit) > 0
+                near[hit] = True
+            on = np.flatnonzero(near)
+            if len(on):
+                yield {c: [g[c][i] for i in on] for c in ("key", "_x", "_y", "_b", RID, "group")}
 
     return map_rows(dealt.repartition(shuffle_parts(buckets), "key", "_x", "_y").sortWithinPartitions("key", "_x", "_y"),
-                    run, "a long, b long").distinct()
+                    run, f"key long, _x long, _y long, _b long, {RID} long, group long")
+
+
+def _cells(batches):
+    def named(bs):
+        for b in bs:
+            cell = zip(*(b[c].to_pylist() for c in ("key", "_x", "_y")), strict=True)
+            yield {"cell": pa.array([str(c) for c in cell]), **b}
+
+    return groups(named(batches), "cell")
+
+
+def _sides(g: dict) -> tuple[np.ndarray, np.ndarray]:
+    block = np.array(g["_b"])
+    return np.flatnonzero(block == g["_x"][0]), np.flatnonzero(block == g["_y"][0])
+
+
+def _cell_links(docs: DataFrame, active: DataFrame, text_col: str, idf) -> DataFrame:
+    """Links across groups inside cells: one edge per row that joins another group, not all pairs."""
+    rows = (numbered(docs).select(RID, F.col(text_col).cast("string").alias("_text"))
+            .join(active.hint("merge"), RID))
+
+    def vectors(batches):
+        for b in batches:
+            of, elements, weights = [], [], []
+            for row, data, starts in pieces(b["_text"]):
+                doc, h, w = shingles(data, starts, idf.value)
+                of.append(doc + row)
+                elements.append(h)
+                weights.append(w)
+            of, h, w = (np.concatenate(x) for x in (of, elements, weights))
+            cuts = np.searchsorted(of, np.arange(len(b["_text"]) + 1))
+            parts = [(h[x:y].tobytes(), w[x:y].tobytes()) for x, y in zip(cuts, cuts[1:], strict=False)]
+            yield {**{c: b[c] for c in ("key", "_x", "_y", "_b", RID, "group")},
+                   "h": pa.array([p[0] for p in parts], pa.binary()), "w": pa.array([p[1] for p in parts], pa.binary())}
+
+    def run(batches):
+        for g in _cells(vectors(batches)):
+            left, right = _sides(g)
+            vec = [(np.frombuffer(h, np.uint64), np.frombuffer(w, np.float64)) for h, w in zip(g["h"], g["w"], strict=True)]
+            rid, grp = np.array(g[RID]), np.array(g["group"])
+            near = similar(vec, left, right) & (grp[left][:, None] != grp[right][None, :])
+            edges, joined = [], {}
+            for j in np.flatnonzero(near.any(1)):
+                for k in _one_per_group(near[j], grp[right]):
+                    x, y = _root(joined, grp[left[j]]), _root(joined, grp[right[k]])
+                    if x != y:
+                        joined[x] = y
+                        edges.append((rid[left[j]], rid[right[k]]))
+            if edges:
+                yield {"src": [e[0] for e in edges], "dst": [e[1] for e in edges]}
+
+    return map_rows(rows.repartition(shuffle_parts(docs), "key", "_x", "_y").sortWithinPartitions("key", "_x", "_y"),
+                    run, "src long, dst long")
+
+
+def _root(joined: dict, x: int) -> int:
+    while x in joined:
+        x = joined[x]
+    return x
+
+
+def _one_per_group(near: np.ndarray, grp: np.ndarray) -> np.ndarray:
+    hit = np.flatnonzero(near)
+    return hit[np.unique(grp[hit], return_index=True)[1]]
+
+
+def similar(vec: list, left: np.ndarray, right: np.ndarray, columns: int = 4096) -> np.ndarray:
+    """Whether each pair of left and right weighted sets reaches SIMILARITY; columns in batches.
+
+    The lower of two weights of a shingle is summed level by level: over the distinct weights
+    of a shingle in ascending order, both sets share the rise up to a level if both reach it.
+    """
+    total = np.array([w.sum() for _, w in vec])
+    of = np.repeat(np.arange(len(vec)), [len(h) for h, _ in vec])
+    h, w = np.concatenate([h for h, _ in vec]), np.concatenate([w for _, w in vec])
+    _, column, count = np.unique(h, return_inverse=True, return_counts=True)
+    keep = count[column] > 1
+    of, column, w = of[keep], column[keep], w[keep]
+    order = np.lexsort((w, column))
+    of, column, w = of[order], column[order], w[order]
+    shared = np.zeros((len(left), len(right)))
+    level = np.concatenate([[True], (column[1:] != column[:-1]) | (w[1:] != w[:-1])]) if len(w) else np.zeros(0, bool)
+    starts = np.flatnonzero(level)
+    same = np.concatenate([[False], column[starts][1:] == column[starts][:-1]]) if len(starts) else starts
+    rise = w[starts] - np.where(same, np.concatenate([[0], w[starts][:-1]]), 0) if len(starts) else w
+    ends = np.searchsorted(column, column[starts], "right")  # all that weigh as much or more
+    for first in range(0, len(starts), columns):
+        m = np.zeros((len(vec), min(columns, len(starts) - first)))
+        for k in range(m.shape[1]):
+            m[of[starts[first + k]:ends[first + k]], k] = 1
+        shared += (m[left] * rise[first:first + columns]) @ m[right].T
+    return shared >= SIMILARITY * (total[left][:, None] + total[right][None, :] - shared) - 1e-9
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -318,9 +403,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     links = [stored(_linked(docs, star, text_col, idf))]
     first = connected_components(links[0])
     first = stored(first.select(F.col("node").alias(RID), F.col("component").alias("group")))
-    more = stored(_across(buckets, reps, first).join(star, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        links.append(stored(_linked(docs, more, text_col, idf)))
+    active = stored(_across(buckets, reps, first))
+    if not active.isEmpty():
+        links.append(stored(_cell_links(docs, active, text_col, idf)))
     exact = member.where(F.col(RID) != F.col("rep")).select(F.col("rep").alias("src"), F.col(RID).alias("dst"))
     found = connected_components(reduce(DataFrame.union, [*links, exact]))
     ids = numbered(docs).select(RID, F.col(id_col).cast("long").alias("id"))
