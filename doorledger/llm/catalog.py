@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from doorledger.llm import chat, language
 from doorledger.llm.bpe import round_trip_digests
 from doorledger.llm.common import fold, table
 from doorledger.llm.exact_dedup import exact_groups
@@ -12,6 +13,8 @@ from doorledger.llm.near_dedup import near_groups
 from doorledger.llm.packing import packed
 from doorledger.llm.suffix_dedup import digests
 from doorledger.llm.toxicity import score, train
+from doorledger.llm.url_filter import RULES, judged
+from doorledger.llm.vector_dedup import vector_groups
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -24,11 +27,53 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_file()).withColumnRenamed("id", "doc_id")
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "pages").select("page_id", "url", "html"), RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+SQL2 = r"""
+WITH RECURSIVE links AS (
+  SELECT url, regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) AS root, unnest([
+    regexp_extract(regexp_extract(html, '(?i)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
+    regexp_extract(regexp_extract(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1)
+  ]) AS t FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+edges AS (
+  SELECT url, CASE WHEN t LIKE '/%' AND t NOT LIKE '//%' THEN root || t ELSE t END AS target FROM links),
+pairs AS (
+  SELECT url AS a, target AS b FROM edges WHERE contains(target, '://')
+  UNION SELECT target, url FROM edges WHERE contains(target, '://')),
+urls AS (SELECT url FROM pages UNION SELECT a FROM pairs),
+parts AS (
+  SELECT url, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*(/[^?#]*)', 1) AS path FROM urls),
+ruled AS (
+  SELECT *, CASE
+    WHEN ('.' || host) LIKE '%.www.example.com' AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/') THEN 'com/' END AS rule FROM parts),
+blocked AS (
+  SELECT url AS u FROM ruled WHERE rule IN ('example.com/en/', 'net/fr/', 'net/es/')
+  UNION SELECT b FROM blocked JOIN pairs ON a = u)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN p.url IN (SELECT u FROM blocked WHERE u IS NOT NULL) THEN 'block' ELSE 'allow' END AS verdict
+FROM pages p JOIN ruled r ON p.url IS NOT DISTINCT FROM r.url"""
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "component_id", "kept")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs)
+    return (docs.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), language.predicted(F.col("text"), model).alias("p"))
+            .select("doc_id", "held_out", "p.lang_pred", "p.score"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
@@ -41,6 +86,13 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM t WINDOW g AS (PARTITION BY norm)"""
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)
+    return chat.digests(rows)
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -53,15 +105,36 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_groups(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+SQL9 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT reach.vec_id, link.b FROM reach JOIN link ON link.a = reach.r)
+SELECT vec_id, (SELECT count(*) FROM link WHERE a = vec_id) AS n_links, min(r) AS component_id, vec_id = min(r) AS kept
+FROM reach GROUP BY vec_id"""
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), tokenizer_file()).withColumnRenamed("id", "doc_id")
 
 
 QUERIES = {
     "op1_bpe_round_trip": (op1_bpe_round_trip, None),
+    "op2_url_filter": (op2_url_filter, SQL2),
     "op3_minhash_near_dedup": (op3_minhash_near_dedup, None),
+    "op4_language_id": (op4_language_id, None),
     "op5_exact_dedup": (op5_exact_dedup, SQL5),
+    "op6_chat_format": (op6_chat_format, None),
     "op7_suffix_dedup": (op7_suffix_dedup, None),
     "op8_toxicity": (op8_toxicity, None),
+    "op9_embedding_near_dedup": (op9_embedding_near_dedup, SQL9),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
 }

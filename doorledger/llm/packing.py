@@ -229,6 +229,6 @@ def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
             yield {**{c: b[c] for c in ("id", "piece", "start", "length", "ids_crc32")},
                    "sequence_id": pa.array(sequence), "offset": pa.array(offset)}
 
-    ranked = (pieces.join(base.select("part", "length", "base"), ["part", "length"])
+    ranked = (pieces.join(base.select("part", "length", "base").hint("merge"), ["part", "length"])  # grows with the tasks
               .select("id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("nth")).alias("rank")))
     return map_rows(ranked, place, "id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
