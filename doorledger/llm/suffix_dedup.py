@@ -209,49 +209,51 @@ def _sorted_out(batches):
         yield flush()
 
 
-def refined(text: np.ndarray, depth: int = LENGTH, gram: int = 8) -> np.ndarray:
+def refined(text: np.ndarray, room: np.ndarray, depth: int = LENGTH, gram: int = 8) -> np.ndarray:
     """Bucket number of the ``depth`` bytes from each position on, by bucket-pointer refinement.
 
-    Equal numbers mean equal bytes. Positions that are alone in their bucket, or too close to the end, get -1.
+    Equal numbers mean equal bytes. Positions that are alone in their bucket, or whose ``room``
+    (bytes to the end of their region) is too short, get -1.
     """
     n = len(text)
     bucket = np.full(n, -1, np.int64)
-    if n < depth:
-        return bucket
-    grams = np.lib.stride_tricks.sliding_window_view(text, gram)
-    key = np.zeros(n - gram + 1, np.uint64)
+    at, size = np.flatnonzero(room >= gram), gram
+    key = np.zeros(len(at), np.uint64)
     for k in range(gram):
-        key = (key << np.uint64(8)) | grams[:, k]
-    at, size = np.arange(n - gram + 1), gram
+        key = (key << np.uint64(8)) | text[at + k]
     while True:
         _, number, count = np.unique(key, return_inverse=True, return_counts=True)
-        alone = count[number] < 2
+        company = count[number] > 1
         bucket[:] = -1
-        at = at[~alone]
-        bucket[at] = number[~alone]
+        at = at[company]
+        bucket[at] = number[company]
         if size == depth or not len(at):
             return bucket
-        step = min(size, depth - size)  # the last round overlaps, so that exactly depth bytes count
-        at = at[at + step < n]
-        later = bucket[at + step]
-        at, later = at[later >= 0], later[later >= 0]  # one that is alone later on is alone here too
-        key = bucket[at].astype(np.uint64) * np.uint64(n + 1) + later.astype(np.uint64)
-        size += step
-
-
-def _edges(batches, limit: int = 4 << 20):
+        size, before = min(3 * size, depth), size
+        at = at[room[at] >= size]
+        # the buckets of the next and the last stretch; stretches may overlap
+        middle, last = bucket[at + min(before, size - before)], bucket[at + size - before]
+        on = (middle >= 0) & (last >= 0)  # what is alone later on is alone here too
+        at, middle, last = at[on], middle[on], last[on]
+        if n < 1 << 21:
+            key = bucket[at] << 42 | middle << 21 | last
+        else:  # three numbers do not fit into one
+            pair = np.unique(bucket[at] << 32 | middle, return_inverse=True)[1]
+            key = pair << 32 | last
+
+
+def _edges(batches, limit: int = 1 << 20):
     """Regions sorted by anchor to intervals of repeated bytes: packed pairs per row."""
     held, size, anchor = [], 0, None
 
     def resolve():
-        # a zero-length gap cannot join regions: strings that leave their region are not counted
         text = np.frombuffer(b"".join(r[4] for r in held), np.uint8)
         lengths = np.array([len(r[4]) for r in held])
         begin = np.concatenate([[0], np.cumsum(lengths)])
-        bucket = refined(text)
         of = np.repeat(np.arange(len(held)), lengths)
         inner = np.arange(len(text)) - begin[of]
-        use = np.flatnonzero((bucket >= 0) & (inner + LENGTH <= lengths[of]))
+        bucket = refined(text, lengths[of] - inner)
+        use = np.flatnonzero(bucket >= 0)
         rid = np.array([r[1] for r in held])[of[use]]
         place = np.array([r[2] for r in held])[of[use]] + inner[use]
         many = np.array([bool(r[3]) for r in held])[of[use]]
