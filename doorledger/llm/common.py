@@ -106,7 +106,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     sign = None
     while True:
         now = stored(star(star(now, True), False))
-        new = now.agg(F.count("*"), F.sum("dst"),
+        new = now.agg(F.count("*"), F.sum(F.col("dst").cast("decimal(38,0)")),
                       F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
         if new == sign:
             break
