@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from doorledger.catalog.detection import FRAUD_SQL, RULES
@@ -14,9 +16,13 @@ from doorledger.streaming import alert_sink, fraud_job, fraud_stream, ingest_to_
 
 
 def _event_stream(spark, sf_dir):
-    schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(
-        sf_dir)
+    """The events table as a stream, whether it is stored as one file or as a folder of files."""
+    rows = table(spark, sf_dir, "events")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 64)
+    files = {os.path.basename(f) for f in rows.inputFiles()}
+    if files == {"events.parquet"}:
+        return stream.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return stream.parquet(f"{sf_dir}/events.parquet")
 
 
 def _drain(spark, alerts):

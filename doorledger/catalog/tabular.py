@@ -189,9 +189,11 @@ def topic_throughput(spark, sf_dir):
 def detection_rate(spark, sf_dir):
     """Share of detections by flag in five-minute windows."""
     t = _timed(spark, sf_dir)
-    yes = metrics.ratio_by_window(t, [], "5 minutes", F.col("value") >= 20, out="detected")
-    no = metrics.ratio_by_window(t, [], "5 minutes", F.col("value") < 20, out="no_face")
-    both = yes.join(no, "window_start")
+    def share(hit):
+        return F.try_divide(F.count_if(hit), F.count(F.lit(1))) * 100
+    both = (t.groupBy(F.window("ts", "5 minutes").alias("_w"))
+            .agg(share(F.col("value") >= 20).alias("detected"), share(F.col("value") < 20).alias("no_face"))
+            .select(F.col("_w.start").alias("window_start"), "detected", "no_face"))
     return _hour(both, *[F.round(c, 6).alias(c) for c in ("detected", "no_face")])
 
 

@@ -21,8 +21,12 @@ def parse_access_log(value: Column | str) -> Column:
 
 
 def iso_timestamp(text: Column | str) -> Column:
-    """ISO-8601 text (optionally with ``Z`` or an offset) to a timestamp, null when unreadable."""
-    return F.try_to_timestamp(F.col(text) if isinstance(text, str) else text)
+    """ISO-8601 text (optionally with ``Z`` or an offset) to a timestamp, null when unreadable.
+
+    A time without a date is unreadable; it would otherwise be read as a time of today.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    return F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(text))
 
 
 def event_millis(ts: Column | str) -> Column:
@@ -69,6 +73,9 @@ def flatten_log(df: DataFrame) -> DataFrame:
         F.col("metadata.processing_time_ms").alias("processing_time_ms"),
         F.col("metadata.source_ip").alias("source_ip"),
         F.col("metadata.prediction_status").alias("prediction_status"),
+        F.col("metadata.error").alias("error"),
+        F.col("metadata.device_id").alias("device_id"),
+        F.col("metadata.check_in_type").alias("check_in_type"),
         ts.alias("event_ts"), event_millis(ts).alias("event_ms"), corrupt.alias("_corrupt"))
 
 

@@ -97,8 +97,8 @@ def generate_access_logs(spark: SparkSession, n: int, users: int, seed: int = 0)
 
 
 def batch_count(total: int, batch_size: int) -> int:
-    """Whole batches only, but at least one."""
-    return max(1, total // batch_size)
+    """Batches that hold all records; the last one may be shorter."""
+    return max(1, -(-total // batch_size))
 
 
 def with_batch_folders(logs: DataFrame, id_col: str, batch_size: int) -> DataFrame:
@@ -115,12 +115,13 @@ def with_batch_folders(logs: DataFrame, id_col: str, batch_size: int) -> DataFra
 
 def write_generated_lake(spark: SparkSession, base: str, total: int, batch_size: int,
                          users: int, seed: int = 0) -> None:
-    """Write whole batches as JSON, one batch per task and file."""
+    """Write exactly ``total`` records as JSON, one batch per task and file, in place of the old lake."""
     batches = batch_count(total, batch_size)
     # every task makes one contiguous id range, which is exactly one batch
-    ids = spark.range(0, batches * batch_size, 1, batches)
+    ids = spark.range(0, batches * batch_size, 1, batches).where(F.col("id") < total)
     logs = with_batch_folders(logs_from_ids(ids, "id", users, seed), "id", batch_size)
-    (logs.drop("id").write.partitionBy("Year", "Month", "Day").mode("overwrite").json(base))
+    (logs.drop("id").write.partitionBy("Year", "Month", "Day").mode("overwrite")
+     .option("partitionOverwriteMode", "static").json(base))
 
 
 def user_count(total: int) -> int:

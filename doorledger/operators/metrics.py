@@ -48,9 +48,16 @@ def counter_rate(samples: DataFrame, keys: Sequence[str], by: Sequence[str], win
                     (F.col("increase") / F.lit(float(seconds))).alias("rate")))
 
 
-def instant_rate(samples: DataFrame, keys: Sequence[str], ts: str = "ts",
-                 value: str = "value") -> DataFrame:
-    """Per series: rate between its last two samples."""
+def instant_rate(samples: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value",
+                 at: str | None = None, look_back: float = 300.0) -> DataFrame:
+    """Per series: rate between its last two samples.
+
+    With ``at`` only samples of the ``look_back`` seconds up to that time count, and a series
+    that has stopped before has no rate. Earlier history is then filtered out before any sort.
+    """
+    if at is not None:
+        seconds = F.unix_micros(F.lit(at).cast("timestamp")) - F.unix_micros(F.col(ts).cast("timestamp"))
+        samples = samples.where(seconds.between(0, int(look_back * 1e6)))
     inc = counter_increase(samples, keys, ts, value)
     last = F.max(F.struct(F.col(ts).alias("t"), F.col("prev_ts").alias("p"),
                           F.col("increase").alias("i"))).alias("l")

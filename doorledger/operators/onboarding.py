@@ -71,7 +71,10 @@ def _new_users(registrations: DataFrame, users: DataFrame) -> DataFrame | None:
     username or email. Each round settles, without pairing rows, those that come first for both
     their username and their email, and drops the ones they make into updates.
     """
-    pending = settled(_without(registrations.select("seq", "username", "email"), users))
+    def alone(c: str) -> Column:  # a missing name or address is shared with nobody
+        return F.coalesce(F.col(c), F.concat(F.lit("\0"), F.col("seq").cast("string"))).alias(c)
+
+    pending = settled(_without(registrations.select("seq", alone("username"), alone("email")), users))
     won: DataFrame | None = None
     while not pending.isEmpty():
         first_name = pending.groupBy("username").agg(F.min("seq").alias("seq"))
@@ -96,7 +99,8 @@ def upsert_users(users: DataFrame, registrations: DataFrame, now: str | Column)
         # at most one row each: the ids and the sequence span to go on from
         top = users.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
         low = registrations.agg(F.min("seq")).first()[0]
-        rows = added.join(registrations.select("seq", "full_name", "face_embedding"), "seq")
+        rows = added.select("seq").join(
+            registrations.select("seq", "username", "email", "full_name", "face_embedding"), "seq")
         everyone = users.unionByName(rows.select(
             (F.col("seq") - F.lit(low) + F.lit(top + 1)).cast("bigint").alias("id"),
             stable_uuid(F.lit("user"), "seq", "username", "email").alias("uuid"),

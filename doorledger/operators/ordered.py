@@ -6,8 +6,7 @@ contribute is reduced to one row per (key, block) with map-side partial aggregat
 accumulated over that short table and joined back. The result is exact and one key
 holding a third of the rows spreads over as many tasks as it has blocks.
 
-Rows with a null key are kept, but see only their own block; callers that have missing keys
-give them their default first. Times must not be null.
+A null key is a key like any other. Times must not be null.
 """
 
 from __future__ import annotations
@@ -39,9 +38,20 @@ def fitting_block_ms(rows: DataFrame, keys: Sequence[str], ms: str,
     return max(1, min(widest, widest * most_rows // max(1, densest)))
 
 
-def _join_blocks(rows: DataFrame, blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # plain equality, so that the join takes over the partitioning and order of the window
-    return rows.join(blocks, [*keys, _BLK], "left")
+def _with_parts(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Two columns per key, never null, that windows, aggregates and the join all use.
+
+    Plain equality of these lets the join take over the partitioning and order of the window.
+    """
+    parts = {}
+    for i, k in enumerate(keys):
+        parts[f"_key{i}"] = F.coalesce(F.col(k).cast("string"), F.lit(""))
+        parts[f"_null{i}"] = F.col(k).isNull()
+    return rows.withColumns(parts), list(parts)
+
+
+def _join_blocks(rows: DataFrame, blocks: DataFrame, parts: Sequence[str]) -> DataFrame:
+    return rows.join(blocks, [*parts, _BLK], "left")
 
 
 def running_total(rows: DataFrame, keys: Sequence[str], ms: str, order: Sequence[str | Column],
@@ -50,16 +60,16 @@ def running_total(rows: DataFrame, keys: Sequence[str], ms: str, order: Sequence
 
     ``order`` orders rows that share a block and must start with ``ms``.
     """
-    rows = rows.withColumn(_BLK, block_of(ms, block_ms))
-    totals = rows.groupBy(*keys, _BLK).agg(F.sum(delta).alias("_total"))
-    before = Window.partitionBy(*keys).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = totals.select(*keys, _BLK, F.sum("_total").over(before).alias("_before"))
-    inside = (Window.partitionBy(*keys, _BLK).orderBy(*order)
+    rows, parts = _with_parts(rows.withColumn(_BLK, block_of(ms, block_ms)), keys)
+    totals = rows.groupBy(*parts, _BLK).agg(F.sum(delta).alias("_total"))
+    before = Window.partitionBy(*parts).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = totals.select(*parts, _BLK, F.sum("_total").over(before).alias("_before"))
+    inside = (Window.partitionBy(*parts, _BLK).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, 0))
     local = rows.withColumn("_local", F.sum(delta).over(inside))
-    return (_join_blocks(local, blocks, keys)
+    return (_join_blocks(local, blocks, parts)
             .withColumn(out, F.coalesce("_before", F.lit(0)) + F.col("_local"))
-            .drop(_BLK, "_before", "_local"))
+            .drop(_BLK, "_before", "_local", *parts))
 
 
 def last_so_far(rows: DataFrame, keys: Sequence[str], ms: str, order: Sequence[str | Column],
@@ -71,16 +81,16 @@ def last_so_far(rows: DataFrame, keys: Sequence[str], ms: str, order: Sequence[s
     is the last one there), unless ``rank`` names another ordering for it.
     With ``inclusive=False`` the row's own value is not considered.
     """
-    rows = rows.withColumn(_BLK, block_of(ms, block_ms))
+    rows, parts = _with_parts(rows.withColumn(_BLK, block_of(ms, block_ms)), keys)
     last = (F.max(value) if rank is None else
             F.max_by(F.col(value), F.when(F.col(value).isNotNull(), rank)))
-    per_block = rows.groupBy(*keys, _BLK).agg(last.alias("_last"))
-    before = Window.partitionBy(*keys).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = per_block.select(*keys, _BLK,
+    per_block = rows.groupBy(*parts, _BLK).agg(last.alias("_last"))
+    before = Window.partitionBy(*parts).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = per_block.select(*parts, _BLK,
                               F.last("_last", ignorenulls=True).over(before).alias("_carry"))
-    inside = (Window.partitionBy(*keys, _BLK).orderBy(*order)
+    inside = (Window.partitionBy(*parts, _BLK).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
     local = rows.withColumn("_local", F.last(value, ignorenulls=True).over(inside))
-    return (_join_blocks(local, blocks, keys)
+    return (_join_blocks(local, blocks, parts)
             .withColumn(out, F.coalesce("_local", "_carry"))
-            .drop(_BLK, "_local", "_carry"))
+            .drop(_BLK, "_local", "_carry", *parts))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doorledger.functions.vectors import effective_threshold
+from doorledger.session import settled
 
 BROADCAST_BYTES = 64 << 20
 BLOCK_BYTES = 32 << 20
@@ -251,6 +252,18 @@ def _fits(n: int, width: int, limit: int) -> bool:
     return n * (width * 8 + 64) <= limit
 
 
+_ROW = "_row"
+
+
+def _rowed(q: DataFrame) -> DataFrame:
+    """The queries, stored once with a number per row."""
+    return settled(q.withColumn(_ROW, F.monotonically_increasing_id()))
+
+
+def _by_row(q: DataFrame) -> DataFrame:
+    return q.select(F.col(_ROW).alias("query_id"), "embedding")
+
+
 def _large(q: DataFrame, g: DataFrame, k: int, n: int, width: int, block_bytes: int) -> DataFrame:
     rows = max(1, block_bytes // (8 * max(1, width)))
     return _blocked(q, g, k, max(1, math.ceil(q.count() / rows)), max(1, math.ceil(n / rows)))
@@ -265,7 +278,8 @@ def best_match(queries: DataFrame, gallery: DataFrame, threshold: float | None =
     with the ``carry`` columns of the queries.
 
     An empty gallery gives (null, null). A query with no usable score, or whose best is
-    exactly -1, gives (null, -1). None and 0 mean the default threshold. Query ids are unique.
+    exactly -1, gives (null, -1). None and 0 mean the default threshold. Query ids may repeat
+    or be null; every query row has its own answer.
     """
     limit = effective_threshold(threshold)
     q, g = _prepare(queries, gallery, query_id, gallery_id, gallery_order, carry)
@@ -273,9 +287,10 @@ def best_match(queries: DataFrame, gallery: DataFrame, threshold: float | None =
     if _fits(size, width, broadcast_bytes):
         best = _small_best(q, g, carry)
     else:
-        found = _large(q.select("query_id", "embedding"), g, 1, size, width, block_bytes)
-        best = q.drop("embedding").join(found.select("query_id", "match_id", "score"),
-                                        "query_id", "left")
+        q = _rowed(q)
+        found = _large(_by_row(q), g, 1, size, width, block_bytes)
+        best = q.drop("embedding").join(
+            found.select(F.col("query_id").alias(_ROW), "match_id", "score"), _ROW, "left")
     score = F.coalesce("score", F.lit(-1.0)) if size else F.lit(None).cast("double")
     hit = (F.col("score") > -1) & (F.col("score") >= limit)
     return best.select("query_id", *carry, F.when(hit, F.col("match_id")).alias("match_id"),
@@ -291,9 +306,11 @@ def top_k_matches(queries: DataFrame, gallery: DataFrame, k: int, query_id: str
     size, width = _measure(g)
     if _fits(size, width, broadcast_bytes):
         return _small(q, g, k).select("query_id", "rank", "match_id", "score")
-    found = _large(q, g, k, size, width, block_bytes)
+    q = _rowed(q)
+    found = _large(_by_row(q), g, k, size, width, block_bytes)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "match_order")
-    return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    ranked = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (ranked.withColumnRenamed("query_id", _ROW).join(q.select(_ROW, "query_id"), _ROW)
             .select("query_id", "rank", "match_id", "score"))
 
 

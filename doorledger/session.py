@@ -61,11 +61,13 @@ def ship_package(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the cluster's shared checkpoint folder.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``. Only
-    when none is named (tests, a laptop) is a temporary one made and recorded.
+    The folder is the one the session names in ``spark.checkpoint.dir``. Only a local
+    session (tests, a laptop) that names none gets a temporary one, which is recorded.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="doorledger-")
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -72,8 +72,8 @@ def day_has_data(spark: SparkSession, base: str, date: str, glob: str = LOG_FILE
 
 
 def write_daily_summary(summary: DataFrame, base: str) -> None:
-    """Replace exactly the summary's own ``date=`` partition by one Parquet file."""
-    (summary.select(*SUMMARY.fieldNames()).coalesce(1).write.partitionBy("date")
+    """Replace exactly the summary's own ``date=`` partition by one Parquet file; other days go to other tasks."""
+    (summary.select(*SUMMARY.fieldNames()).repartition("date").write.partitionBy("date")
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(base))
 
 

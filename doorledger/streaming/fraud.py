@@ -106,7 +106,10 @@ def fraud_stream(events: DataFrame, rules: Sequence[Rule] | None = None,
 
 
 def fraud_job(values: DataFrame, rules: Sequence[Rule] | None = None, watermark: str = WATERMARK,
-              bad_time: str = "drop", evict_idle: bool = False) -> DataFrame:
-    """The whole job on raw topic values: parse, detect, alerts as JSON values."""
+              bad_time: str = "now", evict_idle: bool = False) -> DataFrame:
+    """The whole job on raw topic values: parse, detect, alerts as JSON values.
+
+    An event with an unreadable time counts at its processing time, so that none escapes.
+    """
     return alert_json(fraud_stream(log_events(values, bad_time=bad_time), rules, watermark,
                                    evict_idle))

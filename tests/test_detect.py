@@ -211,3 +211,32 @@ def test_idle_keys_are_forgotten(spark, tmp_path):
     finally:
         q.stop()
     assert spark.read.schema("value string").parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_null_keys_count_alike_in_both_forms(spark):
+    from doorledger.operators import detect, ordered
+    hour = 3_600_000
+    df = spark.createDataFrame([(None, i * hour // 4, i) for i in range(12)] + [("a", i * hour, 20 + i) for i in range(3)],
+                               "k string, ms bigint, seq bigint")
+    forms = [{r.seq: r.n for r in detect.trailing_count(df, ["k"], "ms", "seq", 2 * hour, out="n", block_ms=b).collect()}
+             for b in (hour, 4 * hour)]
+    assert forms[0] == forms[1] and [forms[0][i] for i in range(12)] == [1, 2, 3, 4, 5, 6, 7, 8, 8, 8, 8, 8]
+    total = ordered.running_total(df.withColumn("one", F.lit(1)), ["k"], "ms", ["ms", "seq"], "one", "n")
+    assert {r.seq: r.n for r in total.where("k is null").collect()} == {i: i + 1 for i in range(12)}
+
+
+def test_times_need_a_date(spark):
+    from doorledger.functions.events import iso_timestamp
+    df = spark.createDataFrame([("12:30",), ("T12",), ("2024-01-02T03:04:05Z",), ("junk",), (None,)], "t string")
+    assert [r[0] is None for r in df.select(iso_timestamp("t")).collect()] == [True, True, False, True, True]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from doorledger.session import scratch_dir
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        scratch_dir(far, "x")

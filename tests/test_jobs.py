@@ -101,7 +101,7 @@ def test_generated_lake_and_manifest(spark, tmp_path):
     day = lake.read_access_logs(spark, base, "2022-03-03")  # batch 2
     assert day.count() == 100
     m = lake.dataset_manifest(spark, base, lake.read_lake(spark, base)).first()
-    assert (m.total_records, m.total_files, m.num_users) == (1000, 10, 20) and m.total_bytes > 0
+    assert (m.total_records, m.total_files, m.num_users) == (1050, 11, 20) and m.total_bytes > 0
     assert generate.batch_count(5, 100) == 1 and generate.user_count(50) == 10
 
 
@@ -190,3 +190,19 @@ def test_recognition_messages(spark):
     assert logs["p1"][1]["timestamp"] == "2024-02-03T04:00:00.000000"
     with pytest.raises(Exception):
         recognition.bulk_recognition(df.drop("boxes"), gallery)
+
+
+def test_registrations_without_name_and_address_end(spark):
+    from doorledger.operators.onboarding import _new_users
+    users = spark.createDataFrame([(1, "a", "a@x")], "id bigint, username string, email string")
+    rows = spark.createDataFrame([(1, None, None), (2, None, None), (3, "b", None), (4, "b", "b@x"), (5, "a", None)],
+                                 "seq bigint, username string, email string")
+    assert sorted(r.seq for r in _new_users(rows, users).collect()) == [1, 2, 3]
+
+
+def test_streams_read_folder_tables(spark, tmp_path):
+    from doorledger.catalog import streams
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    whole = streams.stream_to_lake(spark, str(tmp_path)).agg(F.sum("events")).first()[0]
+    assert whole == events.count()

@@ -168,3 +168,12 @@ def test_distance_limit_is_strict(spark):
     assert r.same_person
     r = pooling.same_person(_images(spark, {"r": m}), max_distance=0.3999).first()
     assert not r.same_person
+
+
+def test_repeated_and_null_query_ids_have_their_own_match(spark):
+    from doorledger.operators.similarity import best_match
+    g = spark.createDataFrame([(7, [1.0, 0.0]), (8, [0.0, 1.0])], "match_id bigint, embedding array<float>")
+    q = spark.createDataFrame([(1, [1.0, 0.1]), (1, [0.1, 1.0]), (None, [1.0, 0.2])], "query_id bigint, embedding array<float>")
+    for limit in (1 << 26, 0):
+        found = best_match(q, g, 0.5, broadcast_bytes=limit).collect()
+        assert sorted((r.query_id or -1, r.match_id) for r in found) == [(-1, 7), (1, 7), (1, 8)]
