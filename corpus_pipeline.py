@@ -13,8 +13,8 @@ from doorledger.llm.common import stored, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose calibrated score stays below one half."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return (docs.withColumn("_score", toxicity.score(F.col("text"), model))
-            .where("_score < 0.5").drop("_score"))
+    return (docs.withColumn("__score", toxicity.score(F.col("text"), model))
+            .where("__score < 0.5").drop("__score"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

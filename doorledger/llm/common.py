@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from doorledger.session import scratch_dir
 
-RID = "_rid"
+#: no column of a user's table should be called so
+RID = "__rid"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

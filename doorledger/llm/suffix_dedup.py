@@ -342,10 +342,12 @@ def cut(text: bytes, spans: list[bytes] | None) -> tuple[bytes, int, int]:
 
 
 def without_repeats(docs: DataFrame, columns: list[str], text_col: str, fn, ddl: str) -> DataFrame:
+    """``fn`` over batches with the named columns as _c0, _c1, ..., the text and its spans."""
     spans = repeated_spans(docs, text_col).groupBy(RID).agg(F.collect_list("spans").alias("_spans"))
-    rows = (numbered(docs).select(RID, *columns, F.col(text_col).cast("binary").alias("_text"))
+    own = [F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)]
+    rows = (numbered(docs).select(RID, *own, F.col(text_col).cast("binary").alias("_text"))
             .join(spans.hint("merge"), RID, "left"))
-    return map_rows(rows.select(*columns, "_text", "_spans"), fn, ddl)
+    return map_rows(rows.drop(RID), fn, ddl)
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -354,7 +356,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         for b in batches:
             texts = [t or b"" for t in b["_text"].to_pylist()]
             out = [cut(t, s) for t, s in zip(texts, b["_spans"].to_pylist(), strict=True)]
-            yield {"id": b["_id"], "n_bytes": [len(t) for t in texts], "n_removed": [o[1] for o in out],
+            yield {"id": b["_c0"], "n_bytes": [len(t) for t in texts], "n_removed": [o[1] for o in out],
                    "n_spans": [o[2] for o in out], "kept_sha256": [hashlib.sha256(o[0]).hexdigest() for o in out]}
 
     named = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_t"))
@@ -370,7 +372,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
         for b in batches:
             texts = [None if t is None else cut(t, s)[0].decode("utf-8", "ignore")
                      for t, s in zip(b["_text"].to_pylist(), b["_spans"].to_pylist(), strict=True)]
-            yield {**{c: b[c] for c in others}, text_col: texts}
+            yield {**{c: b[f"_c{i}"] for i, c in enumerate(others)}, text_col: texts}
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return without_repeats(docs, others, text_col, run, ddl)

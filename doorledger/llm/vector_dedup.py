@@ -162,7 +162,7 @@ def vector_groups(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     count = min(MAX_PIVOTS, max(1, -(-largest // CELL)))
     drawn = classes.orderBy(F.xxhash64("rep"), "rep").limit(count).select("vec").collect()  # MAX_PIVOTS at most
     width = max((len(r[0]) for r in drawn), default=8)
-    pivots = spark.sparkContext.broadcast(np.array([np.pad(_unit([bytes(r[0])])[0], (0, (width - len(r[0])) // 8)) for r in drawn]).reshape(len(drawn), -1))
+    pivots = spark.sparkContext.broadcast(np.array([np.pad(_unit([bytes(r[0])])[0], (0, (width - len(r[0])) // 8)) for r in drawn] or [np.zeros(1)]))
     found = stored(_links(_cells(classes.select("label", "rep", "n", "vec"), pivots)))
     members = usable.join(classes, ["label", "vec"]).select(RID, "rep", F.col("n").alias("_copies"))
     links = found.where("dst is null").groupBy("src").agg(F.sum("n").alias("_others"))
