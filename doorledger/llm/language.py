@@ -6,7 +6,7 @@ look-ups; pairs of bytes share one table. A text is cut into consecutive windows
 padded, and the mean of their probabilities, weighted by their letters, is its result; no byte
 is left out. Training takes at most ``sample_rows`` rows, chosen by id hash, and ``windows`` windows of each.
 
-Null texts and texts without a letter are ``und`` with score 0. Rows with null language or text are
+Null texts and texts without a letter are ``und`` with score 0. Rows with null id, language or text are
 not learned from; with no rows to learn from everything is ``und``. Repeated rows are predicted alike.
 """
 
@@ -170,10 +170,13 @@ def fit(texts: list[str], labels: list[str], windows: int = 6) -> ByteCNN:
 def train(docs: DataFrame, sample_rows: int = 1500, sample_chars: int = 8000, id_col: str = "doc_id",
           text_col: str = "text", lang_col: str = "lang") -> ByteCNN:
     """Fit on at most ``sample_rows`` rows of folds other than 2 (of 4), chosen by id hash."""
-    rows = (docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (fold(F.col(id_col), 4) != 2))
-            .orderBy(F.xxhash64(id_col), F.col(id_col), F.xxhash64(text_col)).select(F.substring(text_col, 1, sample_chars), lang_col)
-            .limit(sample_rows).collect())
-    return fit([r[0] for r in rows], [r[1] for r in rows])
+    usable = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
+                        & (fold(F.col(id_col), 4) != 2))
+    ids = usable.select(F.col(id_col).alias("_id")).distinct().orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
+    rows = (usable.select(F.col(id_col).alias("_id"), F.substring(text_col, 1, sample_chars).alias("_text"), F.col(lang_col).alias("_lang"))
+            .join(F.broadcast(ids), "_id")  # at most sample_rows ids, found before any text is moved
+            .orderBy(F.xxhash64("_id"), "_text", "_lang").limit(sample_rows).collect())
+    return fit([r["_text"] for r in rows], [r["_lang"] for r in rows])
 
 
 def predicted(text: Column, model: ByteCNN) -> Column:
