@@ -222,7 +222,13 @@ def _stars(batches):
             yield {"a": left, "b": right}
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, text_col: str, idf) -> DataFrame:
+def _candidate_texts(docs: DataFrame, pairs: DataFrame, text_col: str) -> DataFrame:
+    """(_rid, _text) of the rows in pairs: one shuffle of all texts, later steps move these only."""
+    wanted = pairs.select(F.col("a").alias(RID)).union(pairs.select(F.col("b").alias(RID))).distinct()
+    return numbered(docs).select(RID, F.col(text_col).cast("string").alias("_text")).join(wanted.hint("merge"), RID)
+
+
+def _linked(texts: DataFrame, pairs: DataFrame, idf) -> DataFrame:
     """Of (a, b) row pairs, those of enough weighted Jaccard similarity.
 
     Texts meet by ``a``; where many rows pair with one, they are dealt over several copies of it.
@@ -231,8 +237,7 @@ def _linked(docs: DataFrame, pairs: DataFrame, text_col: str, idf) -> DataFrame:
     per = pairs.groupBy("a").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / 1000)).alias("_n"))
     need = salted.join(per, "a").select(F.col("b").alias(RID), "a", F.pmod("_s", "_n").alias("_s"))
     heads = need.select(F.col("a").alias(RID), "a", "_s").distinct()
-    rows = (numbered(docs).select(RID, F.col(text_col).cast("string").alias("_text"))
-            .join(need.union(heads).hint("merge"), RID))
+    rows = texts.join(need.union(heads).hint("merge"), RID)
 
     def verify(batches):
         group, base = None, None
@@ -254,7 +259,7 @@ def _linked(docs: DataFrame, pairs: DataFrame, text_col: str, idf) -> DataFrame:
             if left:
                 yield {"src": left, "dst": right}
 
-    return map_rows(rows.repartition(shuffle_parts(docs), "a", "_s")
+    return map_rows(rows.repartition(shuffle_parts(texts), "a", "_s")
                     .withColumn("_member", F.col("a") != F.col(RID))
                     .sortWithinPartitions("a", "_s", "_member", RID).select("a", "_s", RID, "_text"),
                     verify, "src long, dst long")
@@ -311,10 +316,9 @@ def _sides(g: dict) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(block == g["_x"][0]), np.flatnonzero(block == g["_y"][0])
 
 
-def _cell_links(docs: DataFrame, active: DataFrame, text_col: str, idf) -> DataFrame:
+def _cell_links(texts: DataFrame, active: DataFrame, idf) -> DataFrame:
     """Links across groups inside cells: one edge per row that joins another group, not all pairs."""
-    rows = (numbered(docs).select(RID, F.col(text_col).cast("string").alias("_text"))
-            .join(active.hint("merge"), RID))
+    rows = texts.join(active.hint("merge"), RID)
 
     def vectors(batches):
         for b in batches:
@@ -346,7 +350,7 @@ def _cell_links(docs: DataFrame, active: DataFrame, text_col: str, idf) -> DataF
             if edges:
                 yield {"src": [e[0] for e in edges], "dst": [e[1] for e in edges]}
 
-    return map_rows(rows.repartition(shuffle_parts(docs), "key", "_x", "_y").sortWithinPartitions("key", "_x", "_y"),
+    return map_rows(rows.repartition(shuffle_parts(texts), "key", "_x", "_y").sortWithinPartitions("key", "_x", "_y"),
                     run, "src long, dst long")
 
 
@@ -401,12 +405,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     star = map_rows(buckets.repartition(shuffle_parts(docs), "key").sortWithinPartitions("key", RID),
                     _stars, "a long, b long").distinct()
     star = stored(star)
-    links = [stored(_linked(docs, star, text_col, idf))]
+    texts = stored(_candidate_texts(docs, star, text_col))
+    links = [stored(_linked(texts, star, idf))]
     first = connected_components(links[0])
     first = stored(first.select(F.col("node").alias(RID), F.col("component").alias("group")))
     active = stored(_across(buckets, reps, first))
     if not active.isEmpty():
-        links.append(stored(_cell_links(docs, active, text_col, idf)))
+        links.append(stored(_cell_links(texts, active, idf)))
     exact = member.where(F.col(RID) != F.col("rep")).select(F.col("rep").alias("src"), F.col(RID).alias("dst"))
     found = connected_components(reduce(DataFrame.union, [*links, exact]))
     ids = numbered(docs).select(RID, F.col(id_col).cast("long").alias("id"))
