@@ -18,11 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def numbered(df: DataFrame) -> DataFrame:
-    """Rows of a stored table with a number of their own, the same in every pass over it."""
+def counted(df: DataFrame) -> DataFrame:
+    """Rows with a number of their own, which holds for one pass only: it depends on how the scan is split."""
     return df.withColumn(RID, F.monotonically_increasing_id())
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """Rows with a number of their own, written once, so that it is the same in every pass over them."""
+    return stored(counted(df))
+
+
 def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """The rows written once to the cluster's shared folder and read back."""
     path = scratch_dir(df.sparkSession, "stage")

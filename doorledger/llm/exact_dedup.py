@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from doorledger.llm.common import RID, map_rows, numbered, shuffle_parts, stored
+from doorledger.llm.common import RID, counted, map_rows, numbered, shuffle_parts, stored
 
 #: bytes of edges that one task's trie may hold
 TRIE_BYTES = 96 << 20
@@ -220,9 +220,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  trie_bytes: int = TRIE_BYTES) -> DataFrame:
     """Per row of a stored table: _rid, id, keep_id, group_size, kept, text_sha256.
 
-    ``_rid`` numbers the rows as ``numbered`` does.
+    ``_rid`` is that of a table from ``numbered``; of any other table it is only good within the result.
     """
-    rows = numbered(docs).select(RID, F.col(id_col).cast("long").alias("_id"),
+    rows = (docs if RID in docs.columns else counted(docs)).select(RID, F.col(id_col).cast("long").alias("_id"),
                                  F.col(text_col).cast("binary").alias("_text"))
     mapped = stored(map_rows(rows, _local(trie_bytes), _MAPPED))
     owners = map_rows(mapped.where("not member").select("size", "hash", "id", "rid", "n", "label", "text")
@@ -236,5 +236,6 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of a stored table that stay, with all their columns."""
-    kept = exact_groups(docs, id_col, text_col).where("kept").select(RID)
-    return numbered(docs).join(kept, RID, "left_semi").drop(RID)
+    rows = numbered(docs)
+    kept = exact_groups(rows, id_col, text_col).where("kept").select(RID)
+    return rows.join(kept, RID, "left_semi").drop(RID)

@@ -178,7 +178,7 @@ def _document_frequencies(docs: DataFrame, text_col: str) -> np.ndarray:
     return (1 + np.log((rows + 1) / (df + 1))).astype(np.float32)
 
 
-def _sketched(docs: DataFrame, text_col: str, idf) -> DataFrame:
+def _sketched(docs: DataFrame, idf) -> DataFrame:
     """Per row with words: _rid, two content keys, band keys and samples (32 bits each)."""
     def run(batches):
         for b in batches:
@@ -202,8 +202,7 @@ def _sketched(docs: DataFrame, text_col: str, idf) -> DataFrame:
                                                          pa.array(keys.view(np.int64).ravel())),
                        "sketch": [x.tobytes() for x in s.astype(np.uint32)]}
 
-    rows = numbered(docs).select(RID, F.col(text_col).cast("string").alias("_text"))
-    return map_rows(rows, run, f"{RID} long, c1 long, c2 long, bands array<long>, sketch binary")
+    return map_rows(docs.select(RID, "_text"), run, f"{RID} long, c1 long, c2 long, bands array<long>, sketch binary")
 
 
 def _stars(batches):
@@ -222,10 +221,10 @@ def _stars(batches):
             yield {"a": left, "b": right}
 
 
-def _candidate_texts(docs: DataFrame, pairs: DataFrame, text_col: str) -> DataFrame:
+def _candidate_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """(_rid, _text) of the rows in pairs: one shuffle of all texts, later steps move these only."""
     wanted = pairs.select(F.col("a").alias(RID)).union(pairs.select(F.col("b").alias(RID))).distinct()
-    return numbered(docs).select(RID, F.col(text_col).cast("string").alias("_text")).join(wanted.hint("merge"), RID)
+    return docs.select(RID, "_text").join(wanted.hint("merge"), RID)
 
 
 def _linked(texts: DataFrame, pairs: DataFrame, idf) -> DataFrame:
@@ -394,10 +393,19 @@ def similar(vec: list, left: np.ndarray, right: np.ndarray, columns: int = 4096)
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of a stored table: _rid, id, component_id (smallest id of its group), kept."""
+    """Per row of a table: _rid, id, component_id (smallest id of its group), kept."""
+    return _grouped(numbered(_named(docs, id_col, text_col)))
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str, *others: str) -> DataFrame:
+    return docs.select(*others, F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``near_groups`` of a stored table of _rid, _id, _text."""
     spark = docs.sparkSession
-    idf = spark.sparkContext.broadcast(_document_frequencies(docs, text_col))  # 1 MB
-    sketched = stored(_sketched(docs, text_col, idf))
+    idf = spark.sparkContext.broadcast(_document_frequencies(docs, "_text"))  # 1 MB
+    sketched = stored(_sketched(docs, idf))
     classes = sketched.groupBy("c1", "c2").agg(F.min(RID).alias("rep"))
     member = stored(sketched.select(RID, "c1", "c2").join(classes, ["c1", "c2"]).select(RID, "rep"))
     reps = sketched.join(member.where(F.col(RID) == F.col("rep")).select(RID), RID, "left_semi")
@@ -405,7 +413,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     star = map_rows(buckets.repartition(shuffle_parts(docs), "key").sortWithinPartitions("key", RID),
                     _stars, "a long, b long").distinct()
     star = stored(star)
-    texts = stored(_candidate_texts(docs, star, text_col))
+    texts = stored(_candidate_texts(docs, star))
     links = [stored(_linked(texts, star, idf))]
     first = connected_components(links[0])
     first = stored(first.select(F.col("node").alias(RID), F.col("component").alias("group")))
@@ -414,7 +422,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         links.append(stored(_cell_links(texts, active, idf)))
     exact = member.where(F.col(RID) != F.col("rep")).select(F.col("rep").alias("src"), F.col(RID).alias("dst"))
     found = connected_components(reduce(DataFrame.union, [*links, exact]))
-    ids = numbered(docs).select(RID, F.col(id_col).cast("long").alias("id"))
+    ids = docs.select(RID, F.col("_id").alias("id"))
     rows = ids.join(found.select(F.col("node").alias(RID), "component"), RID, "left")
     rows = rows.withColumn("component", F.coalesce("component", RID))
     best = rows.where("id is not null").groupBy("component").agg(F.min("id").alias("component_id"))
@@ -425,6 +433,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group of near copies of a stored table, with all its columns."""
-    gone = near_groups(docs, id_col, text_col).where("not kept").select(RID)
-    return numbered(docs).join(gone, RID, "left_anti").drop(RID)
+    """One row of each group of near copies of a table, with all its columns."""
+    rows = numbered(docs)
+    gone = _grouped(_named(rows, id_col, text_col, RID)).where("not kept").select(RID)
+    return rows.join(gone, RID, "left_anti").drop(RID)

@@ -297,9 +297,10 @@ def _packed(rid: np.ndarray, start: np.ndarray, end: np.ndarray) -> dict:
     return {RID: owner[first], "spans": [spans[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)]}
 
 
-def repeated_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(_rid, spans): packed (start, end) byte intervals that are repeated, several rows per text."""
-    rows = numbered(docs).select(RID, F.col(text_col).cast("binary").alias("_text"))
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """(_rid, spans): packed (start, end) byte intervals that are repeated, several rows per text,
+    of a stored table of _rid and _text."""
+    rows = docs.select(RID, "_text")
     found = stored(map_rows(
         map_rows(rows, _occurrences, "h long, r1 long, r2 long, places binary")
         .repartition(shuffle_parts(docs), "h").sortWithinPartitions("h", "r1", "r2"),
@@ -343,11 +344,10 @@ def cut(text: bytes, spans: list[bytes] | None) -> tuple[bytes, int, int]:
 
 def without_repeats(docs: DataFrame, columns: list[str], text_col: str, fn, ddl: str) -> DataFrame:
     """``fn`` over batches with the named columns as _c0, _c1, ..., the text and its spans."""
-    spans = repeated_spans(docs, text_col).groupBy(RID).agg(F.collect_list("spans").alias("_spans"))
     own = [F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)]
-    rows = (numbered(docs).select(RID, *own, F.col(text_col).cast("binary").alias("_text"))
-            .join(spans.hint("merge"), RID, "left"))
-    return map_rows(rows.drop(RID), fn, ddl)
+    rows = numbered(docs.select(*own, F.col(text_col).cast("binary").alias("_text")))
+    spans = repeated_spans(rows).groupBy(RID).agg(F.collect_list("spans").alias("_spans"))
+    return map_rows(rows.join(spans.hint("merge"), RID, "left").drop(RID), fn, ddl)
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from doorledger.llm.common import RID, connected_components, map_rows, numbered, shuffle_parts, stored
+from doorledger.llm.common import RID, connected_components, counted, map_rows, shuffle_parts, stored
 
 MINIMUM = 0.93
 RADIUS = math.sqrt(2 - 2 * MINIMUM) + 1e-9
@@ -29,20 +29,19 @@ CELL, MAX_PIVOTS = 4096, 1024
 
 
 def _usable(rows: DataFrame) -> DataFrame:
-    """_rid, label and the vector as double-precision bytes, of vectors that can link."""
+    """_rid, id, label and the vector as double-precision bytes, null where it cannot link."""
     def run(batches):
         for b in batches:
-            keep, vectors = [], []
-            for i, v in enumerate(b["_vec"].to_pylist()):
-                if v and None not in v:
+            vectors = []
+            for label, v in zip(b["_label"].to_pylist(), b["_vec"].to_pylist(), strict=True):
+                vectors.append(None)
+                if label is not None and v and None not in v:
                     x = np.array(v, float)
                     if np.isfinite(x).all() and x.any() and np.isfinite(x @ x):
-                        keep.append(i)
-                        vectors.append(x.tobytes())
-            at = pa.array(keep, pa.int64())
-            yield {RID: b[RID].take(at), "label": b["_label"].take(at), "vec": pa.array(vectors, pa.binary())}
+                        vectors[-1] = x.tobytes()
+            yield {RID: b[RID], "id": b["id"], "label": b["_label"], "vec": pa.array(vectors, pa.binary())}
 
-    return map_rows(rows, run, f"{RID} long, label long, vec binary")
+    return map_rows(rows, run, f"{RID} long, id long, label long, vec binary")
 
 
 def _unit(raw: list[bytes]) -> np.ndarray:
@@ -155,8 +154,9 @@ def _links(cells: DataFrame) -> DataFrame:
 def vector_groups(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """Per row of a stored table: id, n_links, component_id, kept."""
     spark = rows.sparkSession
-    ids = numbered(rows).select(RID, F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("_label"), F.col(vec_col).alias("_vec"))
-    usable = stored(_usable(ids.where("_label is not null and _vec is not null").select(RID, "_label", "_vec")))
+    ids = counted(rows).select(RID, F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("_label"), F.col(vec_col).alias("_vec"))
+    ids = stored(_usable(ids))  # numbered in this pass only; all that follows reads these rows
+    usable = ids.where("vec is not null").select(RID, "label", "vec")
     classes = stored(usable.groupBy("label", "vec").agg(F.min(RID).alias("rep"), F.count("*").alias("n")))
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     count = min(MAX_PIVOTS, max(1, -(-largest // CELL)))

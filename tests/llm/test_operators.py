@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 tokenizers = pytest.importorskip("tokenizers")
-from doorledger.llm import bpe, chat, exact_dedup, language, near_dedup, packing, suffix_dedup, toxicity, url_filter, vector_dedup  # noqa: E402
+from doorledger.llm import bpe, chat, common, exact_dedup, language, near_dedup, packing, suffix_dedup, toxicity, url_filter, vector_dedup  # noqa: E402
 from doorledger.llm.catalog import tokenizer_file  # noqa: E402
 from doorledger.llm.common import connected_components  # noqa: E402
 
@@ -235,3 +235,40 @@ def test_pipeline_on_a_small_table(spark, tmp_path):
         spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.count() > 100 and [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "suffix_dedup", "packing"]
+
+
+def test_row_numbers_hold_when_the_input_is_split_anew(spark, tmp_path, monkeypatch):
+    """Each stored stage is followed by another split of the scans, as when executors come and go."""
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(words[k * 40:k * 40 + 100]) for k in range(30)]
+    rows = [(i, texts[i % 30] if i < 60 else texts[i % 30].replace(f"w{i % 30 * 40 + 50} ", "other "), [float(i % 30 == j) for j in range(30)], 0)
+            for i in range(90)]
+    path = str(tmp_path / "docs")
+    for part in range(3):  # files of different sizes, with several row groups each
+        some = spark.createDataFrame([r for r in rows if (r[0] // 7) % 3 == part], "doc_id long, text string, embedding array<double>, label int")
+        some.coalesce(1).write.mode("append").option("parquet.block.size", 2048).option("parquet.page.size.row.check.min", 2).option("parquet.block.size.row.check.min", 2).parquet(path)
+    docs, n, cost = spark.read.parquet(path), [0], "spark.sql.files.openCostInBytes"
+
+    def splitting(df, *args, keep=common.stored):
+        out = keep(df, *args)
+        n[0] += 1
+        spark.conf.set(cost, ["0", "4194304"][n[0] % 2])
+        spark.conf.set("spark.sql.files.maxPartitionBytes", ["3000", "134217728"][n[0] % 2])
+        return out
+
+    def run():
+        exact = Counter(r.text for r in exact_dedup.drop_copies(docs).collect())
+        kept = Counter(r.doc_id for r in near_dedup.drop_near_copies(docs).collect())
+        cut = Counter((r.id, r.n_bytes, r.n_removed, r.kept_sha256) for r in suffix_dedup.digests(docs).collect())
+        links = Counter((r.id, r.n_links, r.component_id) for r in vector_dedup.vector_groups(docs, "doc_id").collect())
+        return exact, kept, cut, links
+
+    want = run()
+    assert want[0] == Counter({t: 1 for t in {r[1] for r in rows}}) and want[3] == Counter((i, 2, i % 30) for i in range(90))
+    try:
+        for module in (common, near_dedup, exact_dedup, suffix_dedup, vector_dedup):
+            monkeypatch.setattr(module, "stored", splitting)
+        assert run() == want
+    finally:
+        for key in (cost, "spark.sql.files.maxPartitionBytes"):
+            spark.conf.unset(key)
