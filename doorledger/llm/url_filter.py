@@ -45,7 +45,9 @@ def host_of(url: Column) -> Column:
 
 
 def path_of(url: Column) -> Column:
-    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1)
+    """What lies between the host after the first ``://`` and a query or fragment; empty without a slash."""
+    rest = url.substr(F.instr(url, "://") + 3, F.length(url))
+    return F.coalesce(F.when(F.contains(url, F.lit("://")), F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)), F.lit(""))
 
 
 def rule_of(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:

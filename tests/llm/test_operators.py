@@ -272,3 +272,12 @@ def test_row_numbers_hold_when_the_input_is_split_anew(spark, tmp_path, monkeypa
     finally:
         for key in (cost, "spark.sql.files.maxPartitionBytes"):
             spark.conf.unset(key)
+
+
+def test_path_follows_the_first_scheme_only(spark):
+    urls = {"https://shop.net?next=http://x.net/fr/a": "", "https://a.com?u=http://b/c": "", "http://a.com#http://b/c": "", "http://h/a/://b/c?d": "/a/://b/c",
+            "http://h": "", "http://h/": "/", "http://h/p\nq?x#y": "/p\nq", "x://é/é/😀?a/b": "/é/😀", "no/scheme": "", "": "", "a?b=c://d/e": "/e", "http://h" + "/a" * 50_000: "/a" * 50_000}
+    df = spark.createDataFrame([(u, None) for u in [*urls, None]], "url string, html string")
+    got = {r.url: (r.path, r.rule) for r in url_filter.judged(df, url_filter.RULES).collect()}
+    assert {u: p for u, (p, _) in got.items()} == {**urls, None: ""}
+    assert got["https://shop.net?next=http://x.net/fr/a"][1] is None and got["https://a.com?u=http://b/c"][1] is None
