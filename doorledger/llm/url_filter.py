@@ -3,7 +3,8 @@
 A url's own rule decides first, the longest that fits; so an explicit allow is never overruled. Urls
 without a rule that redirect to, or name as canonical, or are so named by, a blocked url (over any
 number of steps) are blocked too; all others are allowed. Aliases are the connected components over edges
-from each page to its canonical link and its refresh target, found by distributed star contraction.
+from each page to all its canonical links and refresh targets, found by distributed star contraction.
+Targets are decoded and, where relative, resolved against the page's url (a base tag is not read).
 The rule list is a parameter of at most ``MAX_RULES`` entries and becomes one column expression.
 
 Null urls and those without ``://`` have an empty host and path and fit no rule; null or empty html
@@ -12,12 +13,15 @@ holds no link. Rows may repeat; an empty table gives no rows; further columns st
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from html import unescape
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from doorledger.llm.common import connected_components
+from doorledger.llm.common import connected_components, map_rows
 
 MAX_RULES = 1000
 
@@ -61,19 +65,57 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
     return out
 
 
+def _decoded(value: str) -> str:
+    """Character references replaced, as in an attribute: names need their semicolon."""
+    return re.sub(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;)",
+                  lambda m: unescape(m[0]) if m[0][1] == "#" or m[0][1:] in html5 else m[0], value, flags=re.ASCII)
+
+
+def _without_dots(path: str) -> str:
+    """The path without its ``.`` and ``..`` segments."""
+    out, parts = [], path.split("/")
+    for part in parts:
+        if part == "..":
+            if len(out) > 1:
+                out.pop()
+        elif part != ".":
+            out.append(part)
+    return "/".join(out) + ("/" if parts[-1] in (".", "..") else "")
+
+
+def resolved(url: str, target: str) -> str | None:
+    """The url that a link of the page ``url`` leads to; absolute ones as they are, None without ``://``."""
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", target):
+        return target if "://" in target else None
+    base = re.match(r"(?s)(.*?:)(//[^/?#]*)([^?#]*)(\?[^#]*)?", url)
+    if base is None:
+        return None
+    scheme, host, path, query = base.groups(default="")
+    if target.startswith("//"):
+        return scheme + target
+    own, tail = re.match(r"(?s)([^?#]*)(.*)", target).groups()
+    if not own:
+        return scheme + host + path + (tail if tail.startswith("?") else query + tail)
+    whole = own if own.startswith("/") else (path[:path.rfind("/") + 1] or "/") + own
+    return scheme + host + _without_dots(whole) + tail
+
+
 def links(pages: DataFrame, url: str, html: str) -> DataFrame:
-    """(url, target) of canonical links and refresh redirects; root-relative targets are completed."""
-    def tag(pattern: str, value: str) -> Column:
-        return F.regexp_extract(F.regexp_extract(html, pattern, 0), value, 1)
+    """(url, target) of all canonical links and refresh redirects, decoded and resolved against the page's url."""
+    def targets(pattern: str, value: str) -> Column:
+        return F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(0)), lambda tag: F.regexp_extract(tag, value, 1))
 
-    canonical = tag(r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)")
-    refresh = tag(r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)")
-    root = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    canonical = targets(r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)")
+    refresh = targets(r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)")
     found = pages.where(F.col(url).isNotNull() & (F.contains(F.lower(html), F.lit("canonical")) | F.contains(F.lower(html), F.lit("refresh"))))
-    target = F.col("_t")
-    return (found.select(F.col(url).alias("url"), root.alias("_root"), F.explode(F.array(canonical, refresh)).alias("_t"))
-            .withColumn("target", F.when(target.startswith("/") & ~target.startswith("//"), F.concat("_root", target)).otherwise(target))
-            .where(F.contains("target", F.lit("://"))).select("url", "target").distinct())
+
+    def run(batches):
+        for b in batches:
+            own = b["url"].to_pylist()
+            yield {"url": b["url"], "target": [resolved(u, _decoded(t)) for u, t in zip(own, b["_t"].to_pylist(), strict=True)]}
+
+    named = found.select(F.col(url).alias("url"), F.explode(F.concat(canonical, refresh)).alias("_t")).where("_t <> ''")
+    return map_rows(named, run, "url string, target string").where("target is not null").distinct()
 
 
 def judged(pages: DataFrame, rules: tuple[Rule, ...], url: str = "url", html: str = "html") -> DataFrame:

@@ -281,3 +281,32 @@ def test_path_follows_the_first_scheme_only(spark):
     got = {r.url: (r.path, r.rule) for r in url_filter.judged(df, url_filter.RULES).collect()}
     assert {u: p for u, (p, _) in got.items()} == {**urls, None: ""}
     assert got["https://shop.net?next=http://x.net/fr/a"][1] is None and got["https://a.com?u=http://b/c"][1] is None
+
+
+@pytest.mark.parametrize("target, want", [
+    ("//o.net/p", "http://o.net/p"), ("/r?x", "http://h.org/r?x"), ("page.html", "http://h.org/a/b/page.html"), ("../x", "http://h.org/a/x"),
+    ("../../../x", "http://h.org/x"), ("./", "http://h.org/a/b/"), ("..", "http://h.org/a/"), ("?id=1", "http://h.org/a/b/c?id=1"),
+    ("#f", "http://h.org/a/b/c?q=/z#f"), ("go?u=http://x.net/", "http://h.org/a/b/go?u=http://x.net/"), ("https://o.net/../p", "https://o.net/../p"),
+    ("mailto:a@b", None), ("/x/../y/./z", "http://h.org/y/z")])
+def test_resolved_links(target, want):
+    assert url_filter.resolved("http://h.org/a/b/c?q=/z#w", target) == want
+    assert url_filter.resolved("http://h.org", "x") == "http://h.org/x" and url_filter.resolved("no scheme", target) in (None, target)
+
+
+def test_all_aliases_of_a_page(spark):
+    def link(t):
+        return f'<LINK rel="canonical" href="{t}">'
+
+    def refresh(t):
+        return f'<meta http-equiv=refresh content="0; url={t}">'
+
+    blocked = "http://b.net/es/1?a=1&b=2"
+    pages = [(1, "http://b.net/x/1", link("../es/1?a=1&amp;b=2")), (2, "http://o.org/", link("//b.net/es/1?a=1&#38;b=2")), (3, "http://b.net/es/1?a=1&b=2", None),
+             (4, "http://two.org/", link("http://two.org/else") + link(blocked)), (5, "http://three.org/", refresh("/x") + "<p>" + refresh(blocked)),
+             (6, "http://b.net/p/q", link("?id=1")), (7, "http://b.net/p/q?id=1", refresh("//b.net/es/2")), (8, "http://free.org/", link("other.html") + refresh("?&copy=1")),
+             (9, "http://free.org/other.html", None), (10, "http://free.org/?&copy=1", link("mailto:x@b.net/es/"))]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter.judged(df, url_filter.RULES).collect()}
+    assert got == {**dict.fromkeys(range(1, 8), "block"), **dict.fromkeys((8, 9, 10), "allow")}
+    assert {(r.url, r.target) for r in url_filter.links(df.where("page_id = 8"), "url", "html").collect()} == {
+        ("http://free.org/", "http://free.org/other.html"), ("http://free.org/", "http://free.org/?&copy=1")}
