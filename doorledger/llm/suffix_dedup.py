@@ -6,7 +6,8 @@ the whole surroundings of an anchor (all 200-byte strings that hold it) recur, a
 repeated. What is left are the edges of copied passages: their bytes are gathered by anchor and their
 suffixes are sorted to a depth of 200 by bucket-pointer refinement. Initial buckets of 8-byte grams are refined
 by the bucket numbers found at later offsets, whose own refinement is reused at each round,
-until 200 bytes are ordered; only positions of buckets with company go on.
+until 200 bytes are ordered; only positions of buckets with company go on. An anchor of more than ``HOT``
+regions is not sorted in one task: its 200-byte strings become rows that meet by a 128-bit digest.
 
 Texts are UTF-8 bytes, null counts as empty, texts under 200 bytes hold nothing to remove.
 Matches never cross rows; overlapping matches count, also within one row. Repeated rows, ids
@@ -30,6 +31,8 @@ _GRAM = 32
 _WINDOW = LENGTH - _GRAM + 1
 #: bytes before and after an anchor that its 200-byte strings can reach
 _REACH = LENGTH - _GRAM
+#: regions (of at most 368 bytes) of one anchor that a task sorts by itself
+HOT = 4096
 _CHUNK, _LONG, _FLUSH = 1 << 20, 4 << 20, 48 << 20
 _B1, _B2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 _tables: dict = {}
@@ -283,6 +286,49 @@ def _edges(batches, limit: int = 1 << 20):
         yield resolve()
 
 
+def _strings(batches, limit: int = 1 << 17):
+    """The 200-byte strings of regions: digest, row and place."""
+    out = [[] for _ in range(3)]
+    raw = bytearray()
+
+    def flush():
+        digests = np.frombuffer(bytes(raw), "<i8").reshape(-1, 2)
+        raw.clear()
+        rows = dict(zip((RID, "pos", "known"), (np.concatenate(x) for x in out), strict=True))
+        for x in out:
+            x.clear()
+        return {"d1": digests[:, 0].copy(), "d2": digests[:, 1].copy(), **rows}
+
+    for b in batches:
+        for rid, start, known, text in zip(*(b[c].to_pylist() for c in (RID, "start", "known", "bytes")), strict=True):
+            n = len(text) - LENGTH + 1
+            if n <= 0:
+                continue
+            for k in range(n):
+                raw += hashlib.blake2b(text[k:k + LENGTH], digest_size=16).digest()
+            for column, values in zip(out, (np.full(n, rid), np.arange(start, start + n), np.full(n, bool(known))), strict=True):
+                column.append(values)
+            if len(raw) > 16 * limit:
+                yield flush()
+    if raw:
+        yield flush()
+
+
+def _hot_spans(edges: DataFrame) -> DataFrame:
+    """Like ``_edges`` for regions of hot anchors; strings are counted before the shuffle and no anchor is one task's."""
+    strings = map_rows(edges, _strings, f"d1 long, d2 long, {RID} long, pos long, known boolean")
+    seen = strings.groupBy("d1", "d2").agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in (RID, "pos")), F.max("known").alias("known"))
+    again = seen.where(F.col("known") | (F.col(f"min_{RID}") < F.col(f"max_{RID}")) | (F.col("min_pos") < F.col("max_pos"))).select("d1", "d2")
+
+    def spans(batches):
+        for b in batches:
+            rid, pos = (b[c].to_numpy(zero_copy_only=False) for c in (RID, "pos"))
+            order = np.lexsort((pos, rid))
+            yield _packed(rid[order], pos[order], pos[order] + LENGTH)
+
+    return map_rows(strings.join(again, ["d1", "d2"]).select(RID, "pos"), spans, f"{RID} long, spans binary")
+
+
 def _packed(rid: np.ndarray, start: np.ndarray, end: np.ndarray) -> dict:
     """Intervals sorted by row and start, merged, as one packed value per row."""
     if not len(rid):
@@ -306,10 +352,20 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .repartition(shuffle_parts(docs), "h").sortWithinPartitions("h", "r1", "r2"),
         _sorted_out, f"{RID} long, pos long, h long, known boolean"))
     start = F.greatest(F.col("pos") - _REACH, F.lit(0))
-    edges = (rows.join(found.where("known is not null").hint("merge"), RID)
-             .select("h", RID, start.alias("start"), "known",
-                     F.substring("_text", (start + 1).cast("int"), (F.col("pos") + _GRAM + _REACH - start).cast("int")).alias("bytes")))
+    several = found.where("known is not null")
+    hot = stored(several.groupBy("h").count().where(F.col("count") > HOT).select("h"))
+    any_hot = not hot.isEmpty()
+
+    def regions(places: DataFrame) -> DataFrame:
+        return (rows.join(places.hint("merge"), RID)
+                .select("h", RID, start.alias("start"), "known",
+                        F.substring("_text", (start + 1).cast("int"), (F.col("pos") + _GRAM + _REACH - start).cast("int")).alias("bytes")))
+
+    edges = regions(several.join(hot, "h", "left_anti") if any_hot else several)
     looked = map_rows(edges.repartition(shuffle_parts(docs), "h").sortWithinPartitions("h"), _edges, f"{RID} long, spans binary")
+    if any_hot:
+        # stored, so that the join is a stage of its own, whose large keys adaptive execution can split
+        looked = looked.union(stored(_hot_spans(stored(regions(several.join(hot, "h", "left_semi"))))))
 
     def whole(batches):
         for b in batches:

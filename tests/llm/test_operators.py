@@ -310,3 +310,37 @@ def test_all_aliases_of_a_page(spark):
     assert got == {**dict.fromkeys(range(1, 8), "block"), **dict.fromkeys((8, 9, 10), "allow")}
     assert {(r.url, r.target) for r in url_filter.links(df.where("page_id = 8"), "url", "html").collect()} == {
         ("http://free.org/", "http://free.org/other.html"), ("http://free.org/", "http://free.org/?&copy=1")}
+
+
+def test_hot_anchors_are_split(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(5)
+
+    def noise(n):
+        return bytes(rng.integers(97, 123, n, dtype=np.uint8)).decode()
+
+    short, long = noise(120), noise(230)
+    texts = [noise(150) + (short if i % 3 else long) + noise(150) for i in range(90)] + [noise(10) + short + short + noise(90)]
+    texts += [texts[4], texts[4], short, long, short * 4, noise(100) + texts[6] + noise(100)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).write.parquet(path)
+    raw = [t.encode() for t in texts]
+    seen, want = Counter(t[k:k + 200] for t in raw for k in range(len(t) - 199)), set()
+    for i, t in enumerate(raw):
+        mask = bytearray(len(t))
+        for k in range(len(t) - 199):
+            if seen[t[k:k + 200]] > 1:
+                mask[k:k + 200] = b"\1" * 200
+        want.add((i, sum(mask), sha(bytes(x for x, m in zip(t, mask) if not m))))
+
+    def bounded(batches, edges=suffix_dedup._edges):
+        def counted(n=Counter()):
+            for b in batches:
+                n.update(b["h"].to_pylist())
+                assert max(n.values()) <= 20, "a hot anchor lies in one task"
+                yield b
+        return edges(counted())
+
+    monkeypatch.setattr(suffix_dedup, "HOT", 20, raising=False)
+    monkeypatch.setattr(suffix_dedup, "_edges", bounded)
+    got = {(r.id, r.n_removed, r.kept_sha256) for r in suffix_dedup.digests(spark.read.parquet(path)).collect()}
+    assert got == want and sum(w[1] > 0 for w in want) > 30
