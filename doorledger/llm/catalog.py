@@ -9,8 +9,11 @@ from doorledger.llm import chat, language
 from doorledger.llm.bpe import round_trip_digests
 from doorledger.llm.common import fold, table
 from doorledger.llm.exact_dedup import exact_groups
+from doorledger.llm.lexical_search import ranked
 from doorledger.llm.near_dedup import near_groups
 from doorledger.llm.packing import packed
+from doorledger.llm.prefix_trie import BLOCK, nodes
+from doorledger.llm.source_mix import mixed
 from doorledger.llm.suffix_dedup import digests
 from doorledger.llm.toxicity import score, train
 from doorledger.llm.url_filter import RULES, judged
@@ -126,6 +129,71 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), tokenizer_file()).withColumnRenamed("id", "doc_id")
 
 
+def op11_bag_dedup_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+SQL11 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents WHERE text IS NOT NULL),
+i AS (
+  SELECT row_number() OVER () AS r, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+s AS (SELECT count(*)::BIGINT AS docs, sum(len(terms))::BIGINT AS total FROM d WHERE len(terms) > 0),
+asked AS (SELECT r, item_id, term, count(*)::BIGINT AS c FROM (SELECT r, item_id, unnest(terms) AS term FROM i) GROUP BY ALL),
+tf AS (
+  SELECT doc_id, term, 75 + ((25 * n * docs) // total) AS m, count(*)::BIGINT AS tf
+  FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d) CROSS JOIN s
+  WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term, m),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf CROSS JOIN s GROUP BY term),
+scored AS (
+  SELECT r, item_id, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN w USING (term) GROUP BY r, item_id, doc_id),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ordered WHERE rank <= 20"""
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nodes(table(spark, sf_dir, "conversations"), block=BLOCK)
+
+
+SQL12 = """
+WITH own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+crc AS (
+  SELECT conv_id, turns, xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT FOR x IN string_split(conv_id::VARCHAR, '')]),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 6 AS h FROM own),
+built AS (
+  SELECT c.conv_id, CASE WHEN c.conv_id % 100 = 0 THEN c.turns
+    ELSE list_concat(coalesce(list_slice(b.turns, 1, c.h), []), list_slice(c.turns, c.h + 1, len(c.turns))) END AS turns
+  FROM crc c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100),
+pre AS (SELECT conv_id, d AS depth, list_slice(turns, 1, d) AS p, d = len(turns) AS is_end FROM built, unnest(range(0, len(turns) + 1)) x(d)),
+node AS (
+  SELECT p, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends_sha256
+  FROM pre GROUP BY p),
+up AS (
+  SELECT n.*, CASE WHEN n.depth > 0 THEN list_slice(p, 1, n.depth - 1) END AS q,
+         CASE WHEN n.depth > 0 THEN (n_convs - 1) * length(p[n.depth].t) ELSE 0 END AS own FROM node n),
+kids AS (SELECT q, count(*) AS n FROM up WHERE q IS NOT NULL GROUP BY q),
+whole AS (
+  SELECT u.p, u.own, (k.n IS NULL)::BIGINT AS leaf, unnest([list_slice(u.p, 1, x) FOR x IN range(0, u.depth + 1)]) AS a
+  FROM up u LEFT JOIN kids k ON k.q = u.p),
+total AS (SELECT a, sum(leaf) AS leaves, sum(own) AS saved FROM whole GROUP BY a)
+SELECT u.conv_id, u.depth::BIGINT AS depth, o.conv_id AS parent_conv_id, u.n_convs, coalesce(k.n, 0) AS n_children,
+       t.leaves::BIGINT AS n_leaves, t.saved::BIGINT AS saved_tokens, u.ends_sha256
+FROM up u JOIN total t ON t.a = u.p LEFT JOIN kids k ON k.q = u.p LEFT JOIN node o ON o.p = u.q"""
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixed(table(spark, sf_dir, "documents"), F.array("source"))
+    return found.select(F.col("id").alias("doc_id"), "size", F.col("source_sizes")[0].alias("source_size"),
+                        F.col("targets")[0].alias("target"), "taken")
+
+
 QUERIES = {
     "op1_bpe_round_trip": (op1_bpe_round_trip, None),
     "op2_url_filter": (op2_url_filter, SQL2),
@@ -137,4 +205,7 @@ QUERIES = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_embedding_near_dedup": (op9_embedding_near_dedup, SQL9),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
+    "op11_bag_dedup_search": (op11_bag_dedup_search, SQL11),
+    "op12_prefix_trie": (op12_prefix_trie, SQL12),
+    "op13_source_mix": (op13_source_mix, None),
 }
