@@ -97,19 +97,25 @@ def count_stream(rows: DataFrame, rules: Sequence[Rule], evict_idle: bool = Fals
 
 
 def fraud_stream(events: DataFrame, rules: Sequence[Rule] | None = None,
-                 watermark: str = WATERMARK, evict_idle: bool = False) -> DataFrame:
-    """Flat events (with ``event_ts``) to alerts."""
+                 watermark: str = WATERMARK, evict_idle: bool = False,
+                 timers: bool = False) -> DataFrame:
+    """Flat events (with ``event_ts``) to alerts.
+
+    With ``timers`` keys are forgotten by event time, also under the ``availableNow`` trigger.
+    """
     rules = list(rules) if rules is not None else [spam_rule(), brute_force_rule()]
-    marked = events.withWatermark("event_ts", watermark)
-    return alerts_from_counts(count_stream(rule_rows(marked, rules, ["event_ts"]), rules,
-                                           evict_idle), rules)
+    rows = rule_rows(events.withWatermark("event_ts", watermark), rules, ["event_ts"])
+    if timers:
+        from doorledger.streaming.timers import timed_counts
+        return alerts_from_counts(timed_counts(rows, rules), rules)
+    return alerts_from_counts(count_stream(rows, rules, evict_idle), rules)
 
 
 def fraud_job(values: DataFrame, rules: Sequence[Rule] | None = None, watermark: str = WATERMARK,
-              bad_time: str = "now", evict_idle: bool = False) -> DataFrame:
+              bad_time: str = "now", evict_idle: bool = False, timers: bool = False) -> DataFrame:
     """The whole job on raw topic values: parse, detect, alerts as JSON values.
 
     An event with an unreadable time counts at its processing time, so that none escapes.
     """
     return alert_json(fraud_stream(log_events(values, bad_time=bad_time), rules, watermark,
-                                   evict_idle))
+                                   evict_idle, timers))
