@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from doorledger.functions.events import stable_uuid
 from doorledger.functions.outcomes import face_reject_reason
+from doorledger.operators.components import components
 from doorledger.session import settled
 
+#: registrations of one component that a task goes through by itself
+LARGEST = 1_000_000
+
 
 def requested_images(requests: DataFrame, key: str = "request_id",
                      paths: str = "image_paths") -> DataFrame:
@@ -64,19 +72,68 @@ def _without(rows: DataFrame, taken: DataFrame) -> DataFrame:
             .join(taken.select("email"), "email", "left_anti"))
 
 
-def _new_users(registrations: DataFrame, users: DataFrame) -> DataFrame | None:
+def _new_users(registrations: DataFrame, users: DataFrame, largest: int = LARGEST) -> DataFrame:
     """Registrations that insert a row when all are applied one after the other by ``seq``.
 
     A registration inserts if no user and no earlier inserting registration shares its
-    username or email. Each round settles, without pairing rows, those that come first for both
-    their username and their email, and drops the ones they make into updates.
+    username or email. Who shares nothing inserts at once. The others fall into components over
+    names and addresses, and each is gone through in order of ``seq`` by one task's stream, so
+    the number of jobs does not grow with the length of a chain. Components above ``largest``
+    registrations are settled in rounds instead.
     """
     def alone(c: str) -> Column:  # a missing name or address is shared with nobody
         return F.coalesce(F.col(c), F.concat(F.lit("\0"), F.col("seq").cast("string"))).alias(c)
 
-    pending = settled(_without(registrations.select("seq", alone("username"), alone("email")), users))
+    free = _without(registrations.select("seq", alone("username"), alone("email")), users)
+    # of registrations that are alike in both, only the first can insert
+    firsts = settled(free.groupBy("username", "email").agg(F.min("seq").alias("seq")))
+    shared = [firsts.groupBy(c).agg(F.count(F.lit(1)).alias(f"_{c}")).where(F.col(f"_{c}") > 1) for c in ("username", "email")]
+    marked = (firsts.join(shared[0], "username", "left").join(shared[1], "email", "left")
+              .select("seq", "username", "email", (F.col("_username").isNotNull() | F.col("_email").isNotNull()).alias("_shares")))
+    marked = settled(marked)
+    single = marked.where(~F.col("_shares")).drop("_shares")
+    meeting = marked.where("_shares").drop("_shares")
+    if meeting.isEmpty():
+        return single
+    node = F.concat(F.lit("n"), "username")
+    linked = components(meeting.select(node.alias("src"), F.concat(F.lit("m"), "email").alias("dst")))
+    grouped = settled(meeting.join(linked.withColumnRenamed("node", "_n"), node == F.col("_n")).drop("_n"))
+    giant = grouped.groupBy("component").agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > largest).select("component")
+    giant = settled(giant)
+    won = single.unionByName(_in_turn(grouped.join(giant, "component", "left_anti")))
+    if giant.isEmpty():
+        return won
+    return won.unionByName(_in_rounds(grouped.join(giant, "component", "left_semi").drop("component")))
+
+
+def _in_turn(grouped: DataFrame) -> DataFrame:
+    """The inserting rows of each component, taken by ``seq``; names and addresses of one component are held."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        component, names, mails = None, set(), set()
+        for b in batches:
+            keep = []
+            for i, (c, name, mail) in enumerate(zip(*(b[x].to_pylist() for x in ("component", "username", "email")), strict=True)):
+                if c != component:
+                    component, names, mails = c, set(), set()
+                if name not in names and mail not in mails:
+                    names.add(name)
+                    mails.add(mail)
+                    keep.append(i)
+            yield b.take(pa.array(keep, pa.int64())).select(["seq", "username", "email"])
+
+    schema = StructType([grouped.schema[c] for c in ("seq", "username", "email")])
+    rows = grouped.select("component", "seq", "username", "email").repartition("component")
+    return rows.sortWithinPartitions("component", "seq").mapInArrow(run, schema)
+
+
+def _in_rounds(pending: DataFrame) -> DataFrame:
+    """The inserting rows, without holding a component anywhere.
+
+    Each round settles, without pairing rows, those that come first for both
+    their username and their email, and drops the ones they make into updates.
+    """
     won: DataFrame | None = None
-    while not pending.isEmpty():
+    while won is None or not pending.isEmpty():
         first_name = pending.groupBy("username").agg(F.min("seq").alias("seq"))
         first_mail = pending.groupBy("email").agg(F.min("seq").alias("seq"))
         winners = settled(first_name.join(first_mail, "seq").select("seq", "username", "email"))
@@ -94,18 +151,16 @@ def upsert_users(users: DataFrame, registrations: DataFrame, now: str | Column)
     """
     at = F.lit(now).cast("timestamp") if isinstance(now, str) else now
     added = _new_users(registrations, users)
-    everyone = users
-    if added is not None:
-        # at most one row each: the ids and the sequence span to go on from
-        top = users.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-        low = registrations.agg(F.min("seq")).first()[0]
-        rows = added.select("seq").join(
-            registrations.select("seq", "username", "email", "full_name", "face_embedding"), "seq")
-        everyone = users.unionByName(rows.select(
-            (F.col("seq") - F.lit(low) + F.lit(top + 1)).cast("bigint").alias("id"),
-            stable_uuid(F.lit("user"), "seq", "username", "email").alias("uuid"),
-            "email", "username", "full_name", "face_embedding",
-            at.alias("created_at"), at.alias("updated_at")))
+    # at most one row each: the ids and the sequence span to go on from
+    top = users.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    low = registrations.agg(F.coalesce(F.min("seq"), F.lit(0))).first()[0]
+    rows = added.select("seq").join(
+        registrations.select("seq", "username", "email", "full_name", "face_embedding"), "seq")
+    everyone = users.unionByName(rows.select(
+        (F.col("seq") - F.lit(low) + F.lit(top + 1)).cast("bigint").alias("id"),
+        stable_uuid(F.lit("user"), "seq", "username", "email").alias("uuid"),
+        "email", "username", "full_name", "face_embedding",
+        at.alias("created_at"), at.alias("updated_at")))
     value = F.max(F.struct("seq", "full_name", "face_embedding"))
     by_name = registrations.groupBy("username").agg(value.alias("_by_name"))
     by_mail = registrations.groupBy("email").agg(value.alias("_by_mail"))

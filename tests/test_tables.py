@@ -110,6 +110,73 @@ def test_upsert_equals_sequential(spark, seed):
     assert all(r.created_at == r.updated_at == datetime(2024, 6, 1) for r in new)
 
 
+REG = "seq bigint, username string, email string, full_name string, face_embedding string"
+
+
+@pytest.mark.parametrize("largest", [1_000_000, 3])
+def test_upsert_settles_whole_rows(spark, monkeypatch, largest):
+    """Ids, uuids and times as one by one would give them, in one pass or in rounds."""
+    from doorledger.operators.onboarding import _new_users
+    rnd = random.Random(9)
+    regs = [(10 + i, f"u{rnd.randrange(40)}", f"m{rnd.randrange(40)}", f"n{i}", f"[{i}]") for i in range(60)]
+    regs += [(100 + i, None if i % 2 else "lone", None, f"x{i}", "[]") for i in range(4)]
+    users = [_user(i, f"u{i}", f"m{i}") for i in range(3)]
+    udf, rdf = spark.createDataFrame(users, USERS), spark.createDataFrame(regs, REG).repartition(3)
+    names, mails, inserted = {f"u{i}" for i in range(3)}, {f"m{i}" for i in range(3)}, []
+    for seq, name, mail, *_ in regs:
+        if (name is None or name not in names) and (mail is None or mail not in mails):
+            inserted.append(seq)
+            names |= {name} - {None}
+            mails |= {mail} - {None}
+    assert sorted(r.seq for r in _new_users(rdf, udf, largest).collect()) == inserted
+    out = {r.id: r for r in onboarding.upsert_users(udf, rdf, "2024-06-01 00:00:00").collect()}
+    assert sorted(out) == sorted([0, 1, 2, *(seq - 10 + 3 for seq in inserted)])
+    again = {r.id: r for r in onboarding.upsert_users(udf, rdf.orderBy("email"), "2024-06-01 00:00:00").collect()}
+    assert out == again and len({r.uuid for r in out.values()}) == len(out)
+    for i in range(3):
+        assert out[i].created_at == datetime(2024, 1, 1) and out[i].uuid == users[i][1]
+    assert all(out[s - 7].created_at == datetime(2024, 6, 1) for s in inserted)
+
+
+def test_a_long_chain_takes_no_more_jobs(spark):
+    """Each registration shares its address with the one before and its name with the next."""
+    from doorledger.operators.onboarding import _new_users
+    users = spark.createDataFrame([_user(1, "nobody", "none")], USERS)
+
+    def jobs(n):
+        regs = [(i, f"u{i // 2}", f"m{(i + 1) // 2}", "x", "[]") for i in range(n)]
+        rows = spark.createDataFrame(regs, REG).coalesce(1)
+        spark.sparkContext.setJobGroup(f"chain{n}", "chain")
+        got = sorted(r.seq for r in _new_users(rows, users).collect())
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert got == list(range(0, n, 2))
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"chain{n}"))
+
+    assert jobs(500) <= jobs(20) + 2
+
+
+def test_components(spark):
+    from doorledger.operators.components import components
+    rnd = random.Random(4)
+    pairs = [(f"a{i}", f"a{i + 1}") for i in range(300)] + [(f"b{rnd.randrange(90)}", f"b{rnd.randrange(90)}") for _ in range(70)]
+    pairs += [("hub", f"leaf{i}") for i in range(200)] + [("same", "same")]
+    got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "src string, dst string").repartition(7)).collect()}
+    up = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+    for x, y in pairs:
+        a, b = sorted((root(x), root(y)))
+        up[b] = a
+    want = {x: root(x) for p in pairs for x in p}
+    want.pop("same")  # a loop joins nothing
+    lonely = {x for x in want if sum(1 for y in want.values() if y == want[x]) == 1}
+    assert got == {x: c for x, c in want.items() if x not in lonely}
+    assert components(spark.createDataFrame([], "src string, dst string")).count() == 0
+
+
 def test_duplicates_and_ambiguity(spark):
     users = spark.createDataFrame([_user(1, "ann", "a@x"), _user(2, "bob", "b@x")], USERS)
     reqs = spark.createDataFrame(
