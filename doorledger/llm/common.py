@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -35,6 +36,17 @@ def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, codec: str = "zstd") -> DataFrame:
+    """The rows written once to the shared folder, dealt and sorted by ``key``: joins by it do not shuffle them again."""
+    spark, n = df.sparkSession, shuffle_parts(df)
+    name = f"stage_{uuid.uuid4().hex}"
+    (df.repartition(n, key).write.option("compression", codec).option("path", scratch_dir(spark, "stage"))
+     .bucketBy(n, key).sortBy(key).saveAsTable(name))
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only; files outside the warehouse stay, and so does what reads them
+    return out
+
+
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; ids that are null fall into fold 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))

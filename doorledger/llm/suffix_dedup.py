@@ -7,7 +7,12 @@ repeated. What is left are the edges of copied passages: their bytes are gathere
 suffixes are sorted to a depth of 200 by bucket-pointer refinement. Initial buckets of 8-byte grams are refined
 by the bucket numbers found at later offsets, whose own refinement is reused at each round,
 until 200 bytes are ordered; only positions of buckets with company go on. An anchor of more than ``HOT``
-regions is not sorted in one task: its 200-byte strings become rows that meet by a 128-bit digest.
+regions is dealt out before it is sorted: a 200-byte string holds the anchor with some number of bytes before it, and
+strings with few, some and many go to groups of their own, named by all the bytes that the strings of such a group share.
+Regions alone in a group are out, other groups are sorted, and those that are still above ``HOT`` are dealt out again, until
+the number of bytes is given and the group is one string, whose rows meet by its bytes.
+
+Texts are dealt by row number once, so that neither regions nor results shuffle them again.
 
 Texts are UTF-8 bytes, null counts as empty, texts under 200 bytes hold nothing to remove.
 Matches never cross rows; overlapping matches count, also within one row. Repeated rows, ids
@@ -23,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from doorledger.llm.common import RID, map_rows, numbered, shuffle_parts, stored
+from doorledger.llm.common import RID, bucketed, counted, map_rows, shuffle_parts, stored
 from doorledger.llm.near_dedup import mix
 
 LENGTH = 200
@@ -31,6 +36,8 @@ _GRAM = 32
 _WINDOW = LENGTH - _GRAM + 1
 #: bytes before and after an anchor that its 200-byte strings can reach
 _REACH = LENGTH - _GRAM
+#: parts into which the numbers of bytes before an anchor are dealt
+_PARTS = 4
 #: regions (of at most 368 bytes) of one anchor that a task sorts by itself
 HOT = 4096
 _CHUNK, _LONG, _FLUSH = 1 << 20, 4 << 20, 48 << 20
@@ -286,47 +293,65 @@ def _edges(batches, limit: int = 1 << 20):
         yield resolve()
 
 
-def _strings(batches, limit: int = 1 << 17):
-    """The 200-byte strings of regions: digest, row and place."""
-    out = [[] for _ in range(3)]
-    raw = bytearray()
-
-    def flush():
-        digests = np.frombuffer(bytes(raw), "<i8").reshape(-1, 2)
-        raw.clear()
-        rows = dict(zip((RID, "pos", "known"), (np.concatenate(x) for x in out), strict=True))
-        for x in out:
-            x.clear()
-        return {"d1": digests[:, 0].copy(), "d2": digests[:, 1].copy(), **rows}
+def _dealt(batches):
+    """Regions of hot groups, with the bytes before the anchor counted from ``lo`` to ``hi``, in ``_PARTS`` narrower ones.
 
+    A part's key is a hash of what all its strings share: ``lo`` bytes, the anchor, and what ``hi`` leaves after it.
+    """
     for b in batches:
-        for rid, start, known, text in zip(*(b[c].to_pylist() for c in (RID, "start", "known", "bytes")), strict=True):
-            n = len(text) - LENGTH + 1
-            if n <= 0:
-                continue
-            for k in range(n):
-                raw += hashlib.blake2b(text[k:k + LENGTH], digest_size=16).digest()
-            for column, values in zip(out, (np.full(n, rid), np.arange(start, start + n), np.full(n, bool(known))), strict=True):
-                column.append(values)
-            if len(raw) > 16 * limit:
-                yield flush()
-    if raw:
-        yield flush()
-
-
-def _hot_spans(edges: DataFrame) -> DataFrame:
-    """Like ``_edges`` for regions of hot anchors; strings are counted before the shuffle and no anchor is one task's."""
-    strings = map_rows(edges, _strings, f"d1 long, d2 long, {RID} long, pos long, known boolean")
-    seen = strings.groupBy("d1", "d2").agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in (RID, "pos")), F.max("known").alias("known"))
-    again = seen.where(F.col("known") | (F.col(f"min_{RID}") < F.col(f"max_{RID}")) | (F.col("min_pos") < F.col("max_pos"))).select("d1", "d2")
+        out = [[] for _ in range(8)]
+        for rid, start, left, known, lo, hi, text in zip(*(b[c].to_pylist() for c in (RID, "start", "left", "known", "lo", "hi", "bytes")), strict=True):
+            right = len(text) - left - _GRAM
+            step = -(-(hi - lo + 1) // _PARTS)
+            for first in range(lo, hi + 1, step):
+                last = min(first + step - 1, hi)
+                if left < first or right < _REACH - last:
+                    continue  # the text holds no such string
+                s, e = max(0, left - last), min(len(text), left + _GRAM + _REACH - first)
+                shared = text[left - first:left + _GRAM + _REACH - last]
+                key = int.from_bytes(hashlib.blake2b(shared, digest_size=8, salt=bytes([first, last])).digest(), "little", signed=True)
+                for column, value in zip(out, (key, rid, start + s, left - s, known, first, last, text[s:e]), strict=True):
+                    column.append(value)
+        yield dict(zip(("h", RID, "start", "left", "known", "lo", "hi", "bytes"), out, strict=True))
+
+
+_REGIONS = f"h long, {RID} long, start long, left int, known boolean, lo int, hi int, bytes binary"
+
+
+def _positions(batches):
+    """Places of repeated strings as spans."""
+    for b in batches:
+        rid, pos = (b[c].to_numpy(zero_copy_only=False) for c in (RID, "start"))
+        order = np.lexsort((pos, rid))
+        yield _packed(rid[order], pos[order], pos[order] + LENGTH)
 
-    def spans(batches):
-        for b in batches:
-            rid, pos = (b[c].to_numpy(zero_copy_only=False) for c in (RID, "pos"))
-            order = np.lexsort((pos, rid))
-            yield _packed(rid[order], pos[order], pos[order] + LENGTH)
 
-    return map_rows(strings.join(again, ["d1", "d2"]).select(RID, "pos"), spans, f"{RID} long, spans binary")
+def _hot_spans(regions: DataFrame) -> DataFrame:
+    """Like ``_edges`` for the regions of hot anchors; no group above ``HOT`` is one task's."""
+    spans, now = [], regions
+    while True:
+        parts = stored(map_rows(now, _dealt, _REGIONS))
+        fresh = F.count_if(F.col("known").isNull() | ~F.col("known"))
+        company = parts.groupBy("h").agg(F.count("*").alias("n"), fresh.alias("fresh")).where("n > 1 and fresh > 0").select("h", "n")
+        met = stored(parts.join(company, "h"))
+        spans.append(_looked(met.where(F.col("n") <= HOT)))
+        many = met.where(F.col("n") > HOT).drop("n")
+        # of one string per group: its rows meet by their bytes, counted before the shuffle
+        same = many.where("lo = hi")
+        again = same.groupBy("h", "bytes").agg(F.count("*").alias("n"), fresh.alias("fresh")).where("n > 1 and fresh > 0").select("h", "bytes")
+        spans.append(map_rows(same.join(again, ["h", "bytes"]).select(RID, "start"), _positions, f"{RID} long, spans binary"))
+        now = many.where("lo < hi")
+        if now.isEmpty():
+            break
+    out = spans[0]
+    for part in spans[1:]:
+        out = out.union(part)
+    return out
+
+
+def _looked(edges: DataFrame) -> DataFrame:
+    """Spans of the strings that recur among the regions of a group ``h``."""
+    return map_rows(edges.repartition(shuffle_parts(edges), "h").sortWithinPartitions("h"), _edges, f"{RID} long, spans binary")
 
 
 def _packed(rid: np.ndarray, start: np.ndarray, end: np.ndarray) -> dict:
@@ -343,29 +368,29 @@ def _packed(rid: np.ndarray, start: np.ndarray, end: np.ndarray) -> dict:
     return {RID: owner[first], "spans": [spans[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)]}
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(rows: DataFrame) -> DataFrame:
     """(_rid, spans): packed (start, end) byte intervals that are repeated, several rows per text,
-    of a stored table of _rid and _text."""
-    rows = docs.select(RID, "_text")
+    of a table of _rid and _text that is bucketed by _rid."""
+    rows = rows.select(RID, "_text")
     found = stored(map_rows(
         map_rows(rows, _occurrences, "h long, r1 long, r2 long, places binary")
-        .repartition(shuffle_parts(docs), "h").sortWithinPartitions("h", "r1", "r2"),
+        .repartition(shuffle_parts(rows), "h").sortWithinPartitions("h", "r1", "r2"),
         _sorted_out, f"{RID} long, pos long, h long, known boolean"))
     start = F.greatest(F.col("pos") - _REACH, F.lit(0))
     several = found.where("known is not null")
-    hot = stored(several.groupBy("h").count().where(F.col("count") > HOT).select("h"))
-    any_hot = not hot.isEmpty()
+    large = stored(several.groupBy("h").count().where(F.col("count") > HOT).select("h"))
 
     def regions(places: DataFrame) -> DataFrame:
         return (rows.join(places.hint("merge"), RID)
-                .select("h", RID, start.alias("start"), "known",
+                .select("h", RID, start.alias("start"), (F.col("pos") - start).cast("int").alias("left"), "known",
+                        F.lit(0).alias("lo"), F.lit(_REACH).alias("hi"),
                         F.substring("_text", (start + 1).cast("int"), (F.col("pos") + _GRAM + _REACH - start).cast("int")).alias("bytes")))
 
-    edges = regions(several.join(hot, "h", "left_anti") if any_hot else several)
-    looked = map_rows(edges.repartition(shuffle_parts(docs), "h").sortWithinPartitions("h"), _edges, f"{RID} long, spans binary")
-    if any_hot:
-        # stored, so that the join is a stage of its own, whose large keys adaptive execution can split
-        looked = looked.union(stored(_hot_spans(stored(regions(several.join(hot, "h", "left_semi"))))))
+    if large.isEmpty():
+        looked = _looked(regions(several))
+    else:
+        looked = _looked(regions(several.join(large, "h", "left_anti"))).union(
+            _hot_spans(regions(several.join(large, "h", "left_semi"))))
 
     def whole(batches):
         for b in batches:
@@ -401,7 +426,7 @@ def cut(text: bytes, spans: list[bytes] | None) -> tuple[bytes, int, int]:
 def without_repeats(docs: DataFrame, columns: list[str], text_col: str, fn, ddl: str) -> DataFrame:
     """``fn`` over batches with the named columns as _c0, _c1, ..., the text and its spans."""
     own = [F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)]
-    rows = numbered(docs.select(*own, F.col(text_col).cast("binary").alias("_text")))
+    rows = bucketed(counted(docs.select(*own, F.col(text_col).cast("binary").alias("_text"))), RID)
     spans = repeated_spans(rows).groupBy(RID).agg(F.collect_list("spans").alias("_spans"))
     return map_rows(rows.join(spans.hint("merge"), RID, "left").drop(RID), fn, ddl)
 

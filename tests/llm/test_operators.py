@@ -344,3 +344,19 @@ def test_hot_anchors_are_split(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "_edges", bounded)
     got = {(r.id, r.n_removed, r.kept_sha256) for r in suffix_dedup.digests(spark.read.parquet(path)).collect()}
     assert got == want and sum(w[1] > 0 for w in want) > 30
+
+
+def test_suffix_dedup_of_a_very_long_text(spark, tmp_path):
+    """Over 8 MB, so that it is read in slices; the passage lies in three of them and in another text."""
+    rng = np.random.default_rng(6)
+
+    def noise(n):
+        return bytes(rng.integers(97, 123, n, dtype=np.uint8)).decode()
+
+    passage = noise(500)
+    long = noise(1_000) + "A" + passage + "B" + noise(5_000_000) + "C" + passage + "D" + noise(4_200_000) + "E" + passage + "F" + noise(300)
+    texts = [long, noise(100) + "G" + passage + "H" + noise(100), noise(3000)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(path)
+    got = {r.id: (r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digests(spark.read.parquet(path)).collect()}
+    assert got == {0: (1500, 3, sha(long.replace(passage, ""))), 1: (500, 1, sha(texts[1].replace(passage, ""))), 2: (0, 0, sha(texts[2]))}
