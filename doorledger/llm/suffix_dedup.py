@@ -4,13 +4,13 @@ Every 200-byte string holds one anchor, the leftmost lowest of the hashes of its
 equal strings have equal anchors at equal places. Anchors seen once cannot be repeated. Where
 the whole surroundings of an anchor (all 200-byte strings that hold it) recur, all of them are
 repeated. What is left are the edges of copied passages: their bytes are gathered by anchor and their
-suffixes are sorted to a depth of 200 by bucket-pointer refinement. Initial buckets of 8-byte grams are refined
+suffixes are sorted to a depth of 200 by bucket-pointer refinement. Initial buckets of 5-byte grams are refined
 by the bucket numbers found at later offsets, whose own refinement is reused at each round,
 until 200 bytes are ordered; only positions of buckets with company go on. An anchor of more than ``HOT``
 regions is dealt out before it is sorted: a 200-byte string holds the anchor with some number of bytes before it, and
 strings with few, some and many go to groups of their own, named by all the bytes that the strings of such a group share.
-Regions alone in a group are out, other groups are sorted, and those that are still above ``HOT`` are dealt out again, until
-the number of bytes is given and the group is one string, whose rows meet by its bytes.
+Regions of equal bytes are repeated as a whole and go on as one, regions alone in a group are out, other groups are
+sorted, and those that are still above ``HOT`` are dealt out again, until the number of bytes is given.
 
 Texts are dealt by row number once, so that neither regions nor results shuffle them again.
 
@@ -219,40 +219,47 @@ def _sorted_out(batches):
         yield flush()
 
 
-def refined(text: np.ndarray, room: np.ndarray, depth: int = LENGTH, gram: int = 8) -> np.ndarray:
+def _buckets(key: np.ndarray, at: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions that share their key with others, and the numbers of their keys, in order of the keys."""
+    if bits <= 21:  # key and position are one number, which sorts by itself
+        both = np.sort(key << bits | at)
+        key, at = both >> bits, both & ((1 << bits) - 1)
+    else:
+        order = np.argsort(key, kind="stable")
+        key, at = key[order], at[order]
+    fresh = np.concatenate([[True], key[1:] != key[:-1]])
+    company = ~(fresh & np.append(fresh[1:], True))
+    return at[company], np.cumsum(fresh)[company]
+
+
+def refined(text: np.ndarray, room: np.ndarray, depth: int = LENGTH, gram: int = 5) -> np.ndarray:
     """Bucket number of the ``depth`` bytes from each position on, by bucket-pointer refinement.
 
     Equal numbers mean equal bytes. Positions that are alone in their bucket, or whose ``room``
     (bytes to the end of their region) is too short, get -1.
     """
     n = len(text)
+    bits = max(n.bit_length(), 1)  # of a position, and of a bucket's number
     bucket = np.full(n, -1, np.int64)
     at, size = np.flatnonzero(room >= gram), gram
-    key = np.zeros(len(at), np.uint64)
+    key = np.zeros(len(at), np.int64)
     for k in range(gram):
-        key = (key << np.uint64(8)) | text[at + k]
+        key = (key << 8) | text[at + k]
     while True:
-        _, number, count = np.unique(key, return_inverse=True, return_counts=True)
-        company = count[number] > 1
+        at, number = _buckets(key, at, bits) if len(at) else (at, at)
         bucket[:] = -1
-        at = at[company]
-        bucket[at] = number[company]
+        bucket[at] = number
         if size == depth or not len(at):
             return bucket
-        size, before = min(3 * size, depth), size
+        size, before = min(2 * size, depth), size
         at = at[room[at] >= size]
-        # the buckets of the next and the last stretch; stretches may overlap
-        middle, last = bucket[at + min(before, size - before)], bucket[at + size - before]
-        on = (middle >= 0) & (last >= 0)  # what is alone later on is alone here too
-        at, middle, last = at[on], middle[on], last[on]
-        if n < 1 << 21:
-            key = bucket[at] << 42 | middle << 21 | last
-        else:  # three numbers do not fit into one
-            pair = np.unique(bucket[at] << 32 | middle, return_inverse=True)[1]
-            key = pair << 32 | last
-
-
-def _edges(batches, limit: int = 1 << 20):
+        ahead = bucket[at + size - before]  # the two stretches may overlap
+        on = ahead >= 0  # what is alone later on is alone here too
+        at = at[on]
+        key = bucket[at] << bits | ahead[on]
+
+
+def _edges(batches, limit: int = 1 << 19):
     """Regions sorted by anchor to intervals of repeated bytes: packed pairs per row."""
     held, size, anchor = [], 0, None
 
@@ -293,54 +300,108 @@ def _edges(batches, limit: int = 1 << 20):
         yield resolve()
 
 
-def _dealt(batches):
+_PARTED = "h long, lo int, hi int, left int, bytes binary, known boolean, places binary"
+_REGIONS = f"h long, {RID} long, start long, left int, known boolean, lo int, hi int, bytes binary, whole boolean"
+
+
+def _dealt(batches, limit: int = 16 << 20):
     """Regions of hot groups, with the bytes before the anchor counted from ``lo`` to ``hi``, in ``_PARTS`` narrower ones.
 
-    A part's key is a hash of what all its strings share: ``lo`` bytes, the anchor, and what ``hi`` leaves after it.
+    A part's key is a hash of what all its strings share: ``lo`` bytes, the anchor, and what ``hi`` leaves after it. Equal
+    parts of a task are one row with all their places packed.
     """
+    held: dict[tuple, list] = {}
+    size = 0
+
+    def flush():
+        out = {c: [k[i] for k in held] for i, c in enumerate(("h", "lo", "hi", "left", "bytes"))}
+        out["known"] = [v[0] for v in held.values()]
+        out["places"] = [np.array(v[1], _PLACES).tobytes() for v in held.values()]
+        return out
+
     for b in batches:
-        out = [[] for _ in range(8)]
         for rid, start, left, known, lo, hi, text in zip(*(b[c].to_pylist() for c in (RID, "start", "left", "known", "lo", "hi", "bytes")), strict=True):
             right = len(text) - left - _GRAM
             step = -(-(hi - lo + 1) // _PARTS)
             for first in range(lo, hi + 1, step):
                 last = min(first + step - 1, hi)
-                if left < first or right < _REACH - last:
-                    continue  # the text holds no such string
                 s, e = max(0, left - last), min(len(text), left + _GRAM + _REACH - first)
+                if left < first or right < _REACH - last or e - s < LENGTH:
+                    continue  # the text holds no such string
                 shared = text[left - first:left + _GRAM + _REACH - last]
                 key = int.from_bytes(hashlib.blake2b(shared, digest_size=8, salt=bytes([first, last])).digest(), "little", signed=True)
-                for column, value in zip(out, (key, rid, start + s, left - s, known, first, last, text[s:e]), strict=True):
-                    column.append(value)
-        yield dict(zip(("h", RID, "start", "left", "known", "lo", "hi", "bytes"), out, strict=True))
+                own = held.setdefault((key, first, last, left - s, text[s:e]), [False, []])
+                own[0] |= bool(known)
+                own[1].append((rid, start + s))
+                size += LENGTH if len(own[1]) == 1 else 16
+        if size > limit:
+            yield flush()
+            held.clear()
+            size = 0
+    if held:
+        yield flush()
+
+
+def _collapsed(batches, limit: int = 1 << 16):
+    """Parts sorted by key, bytes before the anchor and bytes: the places of equal ones whole, and one of them to go on."""
+    out: list[tuple] = []
+    current, one = None, None
 
+    def go_on():
+        if one is not None:
+            out.append((current[0], *one[0], current[3], one[1], current[1], current[2], current[4], False))
 
-_REGIONS = f"h long, {RID} long, start long, left int, known boolean, lo int, hi int, bytes binary"
+    def flush():
+        cols = dict(zip(("h", RID, "start", "left", "known", "lo", "hi", "bytes", "whole"), zip(*out, strict=True), strict=True))
+        out.clear()
+        return cols
+
+    for b in batches:
+        for *part, known, places in zip(*(b[c].to_pylist() for c in ("h", "lo", "hi", "left", "bytes", "known", "places")), strict=True):
+            places = np.frombuffer(places, _PLACES).tolist()
+            if part == current:
+                if not one[1]:  # the first place was alone so far
+                    out.append((part[0], *one[0], part[3], None, part[1], part[2], part[4], True))
+                one = (one[0], True)
+            else:
+                go_on()
+                current, one = part, (places[0], known or len(places) > 1)
+                if len(places) == 1:
+                    continue
+            out.extend((part[0], rid, start, part[3], None, part[1], part[2], part[4], True) for rid, start in places)
+            if len(out) > limit:
+                yield flush()
+        if out:
+            yield flush()
+    go_on()
+    if out:
+        yield flush()
 
 
-def _positions(batches):
-    """Places of repeated strings as spans."""
+def _whole(batches):
     for b in batches:
-        rid, pos = (b[c].to_numpy(zero_copy_only=False) for c in (RID, "start"))
-        order = np.lexsort((pos, rid))
-        yield _packed(rid[order], pos[order], pos[order] + LENGTH)
+        rid, start = (b[c].to_numpy(zero_copy_only=False) for c in (RID, "start"))
+        end = start + b["n"].to_numpy(zero_copy_only=False)
+        order = np.lexsort((start, rid))
+        yield _packed(rid[order], start[order], end[order])
 
 
 def _hot_spans(regions: DataFrame) -> DataFrame:
     """Like ``_edges`` for the regions of hot anchors; no group above ``HOT`` is one task's."""
     spans, now = [], regions
     while True:
-        parts = stored(map_rows(now, _dealt, _REGIONS))
-        fresh = F.count_if(F.col("known").isNull() | ~F.col("known"))
-        company = parts.groupBy("h").agg(F.count("*").alias("n"), fresh.alias("fresh")).where("n > 1 and fresh > 0").select("h", "n")
+        parts = map_rows(now, _dealt, _PARTED)
+        met = stored(map_rows(
+            parts.repartition(shuffle_parts(parts), "h", "left", "bytes").sortWithinPartitions("h", "lo", "hi", "left", "bytes"),
+            _collapsed, _REGIONS))
+        spans.append(map_rows(met.where("whole").select(RID, "start", F.length("bytes").cast("long").alias("n")), _whole,
+                              f"{RID} long, spans binary"))
+        parts = met.where("not whole").drop("whole")
+        company = (parts.groupBy("h").agg(F.count("*").alias("n"), F.count_if(~F.col("known")).alias("fresh"))
+                   .where("n > 1 and fresh > 0").select("h", "n"))
         met = stored(parts.join(company, "h"))
         spans.append(_looked(met.where(F.col("n") <= HOT)))
-        many = met.where(F.col("n") > HOT).drop("n")
-        # of one string per group: its rows meet by their bytes, counted before the shuffle
-        same = many.where("lo = hi")
-        again = same.groupBy("h", "bytes").agg(F.count("*").alias("n"), fresh.alias("fresh")).where("n > 1 and fresh > 0").select("h", "bytes")
-        spans.append(map_rows(same.join(again, ["h", "bytes"]).select(RID, "start"), _positions, f"{RID} long, spans binary"))
-        now = many.where("lo < hi")
+        now = met.where((F.col("n") > HOT) & F.expr("lo < hi")).drop("n")
         if now.isEmpty():
             break
     out = spans[0]
@@ -358,6 +419,9 @@ def _packed(rid: np.ndarray, start: np.ndarray, end: np.ndarray) -> dict:
     """Intervals sorted by row and start, merged, as one packed value per row."""
     if not len(rid):
         return {RID: pa.array([], pa.int64()), "spans": pa.array([], pa.binary())}
+    rows = np.cumsum(np.concatenate([[0], rid[1:] != rid[:-1]]))
+    high = int(end.max()) + 1
+    end = np.maximum.accumulate(rows * high + end) - rows * high  # how far the row's intervals reach so far
     fresh = np.concatenate([[True], (rid[1:] != rid[:-1]) | (start[1:] > end[:-1])])
     head = np.flatnonzero(fresh)
     last = np.append(head[1:], len(rid)) - 1

@@ -360,3 +360,21 @@ def test_suffix_dedup_of_a_very_long_text(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(path)
     got = {r.id: (r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digests(spark.read.parquet(path)).collect()}
     assert got == {0: (1500, 3, sha(long.replace(passage, ""))), 1: (500, 1, sha(texts[1].replace(passage, ""))), 2: (0, 0, sha(texts[2]))}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_refined_regions_equal_substrings(seed):
+    """Regions of copied blocks; no string runs over the end of its region."""
+    rng = np.random.default_rng(seed)
+    blocks = [bytes(rng.integers(97, 123, rng.integers(1, 260), dtype=np.uint8)) for _ in range(3)]
+    regions = [(b"".join(blocks[i] for i in rng.integers(0, 3, 3)) + bytes(rng.integers(97, 123, 50, dtype=np.uint8)))[:rng.integers(200, 400)]
+               for _ in range(12)]
+    room = np.concatenate([np.arange(len(r), 0, -1) for r in regions])
+    raw = b"".join(regions)
+    bucket = suffix_dedup.refined(np.frombuffer(raw, np.uint8), room)
+    by, got = defaultdict(set), defaultdict(set)
+    for p in np.flatnonzero(room >= 200).tolist():
+        by[raw[p:p + 200]].add(p)
+    for p in np.flatnonzero(bucket >= 0).tolist():
+        got[bucket[p]].add(p)
+    assert {frozenset(v) for v in by.values() if len(v) > 1} == {frozenset(v) for v in got.values()}
