@@ -1,11 +1,11 @@
 """Best-fit packing of tokenised documents into sequences by linear grouping.
 
 Documents become pieces of at most ``capacity`` tokens. Only the histogram of piece lengths, never more
-than ``capacity`` rows, comes to the driver, where the packing is planned: lengths over an eighth of the capacity
+than ``capacity`` rows, comes to the driver, where the packing is planned: lengths over a quarter of the capacity
 are sorted and cut into groups of equal cardinality, each rounded up to its longest; over these
-few sizes the configuration program is solved by column generation; actual lengths are then put into the groups' slots,
-and what is small or left over is placed best-fit, longest first, into what stays free.
-A plain best-fit of everything is kept instead where it needs fewer sequences. The plan says for each length and
+few sizes the configuration program is solved by column generation; actual lengths are then put into the groups' slots.
+What rounding the solution down leaves is grouped and solved again until no whole sequence comes of it. The last few large
+ones and all small ones are placed best-fit, longest first, into what stays free. The plan says for each length and
 rank in which sequence and where a piece goes, and tasks look that up; the pieces' ranks are
 counted per task and added up over tasks.
 
@@ -26,7 +26,7 @@ from doorledger.llm.bpe import encoder_of
 from doorledger.llm.common import map_rows, stored
 
 CAPACITY, END_ID = 4096, 1
-GROUPS, LARGE = 40, 8
+GROUPS, LARGE = 16, 4
 
 _PIECES = ("id long, piece int, start long, length long, ids_crc32 long, part long, nth long")
 
@@ -65,24 +65,20 @@ def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[t
     for _ in range(40 * n):
         price = np.linalg.solve(basis.T, np.ones(n))
         value, take = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-        order = np.argsort(s)
-        sorted_s, sorted_p = s[order], price[order]
-        low = int(sorted_s[0])
-        for c in range(low, capacity + 1):
-            k = int(np.searchsorted(sorted_s, c, "right"))
-            gains = value[c - sorted_s[:k]] + sorted_p[:k]
-            i = int(gains.argmax())
-            value[c], take[c] = (gains[i], i) if gains[i] > value[c - 1] else (value[c - 1], -1)
-        if value[capacity] <= 1 + 1e-7:
+        for i in np.flatnonzero(price > 1e-12).tolist():
+            size = int(s[i])
+            for _ in range(capacity // size):  # one more copy each time
+                gain = value[:-size] + price[i]
+                better = np.flatnonzero(gain > value[size:] + 1e-12)
+                if not len(better):
+                    break
+                value[better + size], take[better + size] = gain[better], i
+        if value.max() <= 1 + 1e-7:
             break
-        pattern, c = np.zeros(n), capacity
-        while c >= low:
-            if take[c] < 0:
-                c -= 1
-            else:
-                i = order[take[c]]
-                pattern[i] += 1
-                c -= int(s[i])
+        pattern, c = np.zeros(n), int(value.argmax())
+        while take[c] >= 0:
+            pattern[take[c]] += 1
+            c -= int(s[take[c]])
         step = np.linalg.solve(basis, pattern)
         ratio = np.where(step > 1e-9, x / np.maximum(step, 1e-9), np.inf)
         out = int(ratio.argmin())
@@ -133,22 +129,17 @@ class _Bins:
 
 
 def _grouped(lengths: np.ndarray, counts: np.ndarray, capacity: int, groups: int) -> _Bins:
-    """The linear grouping plan of lengths sorted in descending order."""
+    """The linear grouping plan of lengths sorted in descending order.
+
+    What rounding the program's solution down leaves is grouped and solved again, as long as a whole sequence comes of it.
+    """
     bins = _Bins(capacity)
     large = lengths > capacity // LARGE
-    total = int(counts[large].sum())
-    queues: list[list[list[int]]] = []
-    per, room = -(-total // groups) if total else 0, 0
-    for length, n in zip(lengths[large].tolist(), counts[large].tolist(), strict=True):
-        while n:
-            if not room:
-                queues.append([])
-                room = per
-            took = min(n, room)
-            queues[-1].append([length, took])
-            n, room = n - took, room - took
-    if queues:
+    left = [[length, n] for length, n in zip(lengths[large].tolist(), counts[large].tolist(), strict=True)]
+    while left:
+        queues = _queues(left, groups)
         sizes = [q[0][0] for q in queues]
+        whole = False
         for pattern, times in configurations(sizes, [sum(c for _, c in q) for q in queues], capacity):
             m = min([int(times + 1e-9), *(sum(c for _, c in q) // int(a) for q, a in zip(queues, pattern, strict=True) if a)])
             runs = [(m, ())] if m and pattern.any() else []
@@ -156,15 +147,35 @@ def _grouped(lengths: np.ndarray, counts: np.ndarray, capacity: int, groups: int
                 for _ in range(int(a)):  # one slot of each of the m sequences
                     runs = _slot(runs, q)
             for n, items in runs:
+                whole = True
                 bins.add(n, capacity - sum(items), tuple((x, 1) for x in items))
+        left = [x for q in queues for x in q]
+        if not whole:
+            break
     rest = defaultdict(int)
-    for length, n in [*(x for q in queues for x in q), *zip(lengths[~large].tolist(), counts[~large].tolist(), strict=True)]:
+    for length, n in [*left, *zip(lengths[~large].tolist(), counts[~large].tolist(), strict=True)]:
         rest[length] += n
     for length in sorted(rest, reverse=True):
         bins.fit(length, rest[length])
     return bins
 
 
+def _queues(left: list[list[int]], groups: int) -> list[list[list[int]]]:
+    """(length, number) in descending order, cut into groups of equal cardinality."""
+    total = sum(n for _, n in left)
+    queues: list[list[list[int]]] = []
+    per, room = -(-total // groups), 0
+    for length, n in left:
+        while n:
+            if not room:
+                queues.append([])
+                room = per
+            took = min(n, room)
+            queues[-1].append([length, took])
+            n, room = n - took, room - took
+    return queues
+
+
 def _slot(runs: list[tuple[int, tuple]], queue: list[list[int]]) -> list[tuple[int, tuple]]:
     out = []
     for n, items in runs:
@@ -184,11 +195,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
         return []
     lengths = np.array(sorted(histogram, reverse=True))
     counts = np.array([histogram[int(x)] for x in lengths])
-    plain = _Bins(capacity)
-    for length, n in zip(lengths.tolist(), counts.tolist(), strict=True):
-        plain.fit(length, n)
-    both = (_grouped(lengths, counts, capacity, groups).runs(), plain.runs())
-    return min(both, key=lambda runs: sum(n for n, _ in runs))
+    return _grouped(lengths, counts, capacity, groups).runs()
 
 
 def _lookup(runs: list[tuple[int, tuple]]) -> dict[int, np.ndarray]:

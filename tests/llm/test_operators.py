@@ -1,6 +1,7 @@
 """The corpus operators against brute force and round trips on small tables."""
 
 import hashlib
+import zlib
 import re
 from collections import Counter, defaultdict
 
@@ -204,9 +205,10 @@ def test_packing(odd_docs, no_docs):
     rows = packing.packed(odd_docs, PATH, capacity=64).collect()
     want = Counter()
     for r in odd_docs.collect():
-        n = len(library.encode(r.text or "", add_special_tokens=False).ids) + 1
-        want.update((r.doc_id, k // 64, k, min(64, n - k)) for k in range(0, n, 64))
-    assert Counter((r.id, r.piece, r.start, r.length) for r in rows) == want
+        ids = [*library.encode(r.text or "", add_special_tokens=False).ids, 1]
+        want.update((r.doc_id, k // 64, k, len(ids[k:k + 64]), zlib.crc32(np.array(ids[k:k + 64], "<u4").tobytes()))
+                    for k in range(0, len(ids), 64))
+    assert Counter((r.id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
     filled = defaultdict(list)
     for r in rows:
         filled[r.sequence_id].append((r.offset, r.length))
@@ -229,6 +231,22 @@ def test_plan_holds_the_histogram(seed):
     assert held == histogram
 
 
+@pytest.mark.parametrize("seed,n", [(0, 1000), (1, 1000), (2, 10_000), (3, 200_000)])
+def test_plan_comes_near_the_bound(seed, n):
+    """Lengths as of the given documents: many short, some long ones cut into whole sequences and a rest."""
+    rng = np.random.default_rng(seed)
+    lengths = np.exp(rng.normal(6.4, 1.0, n)).astype(int) + 1
+    histogram = Counter(np.concatenate([lengths % 4096 + 1, np.full(int((lengths // 4096).sum()), 4096)]).tolist())
+    runs = packing.plan(dict(histogram))
+    held = Counter()
+    for times, items in runs:
+        for length, copies in items:
+            held[length] += times * copies
+    assert held == histogram
+    bound = -(-sum(k * v for k, v in histogram.items()) // 4096)
+    assert sum(times for times, _ in runs) <= bound * 1.002 + 0.5
+
+
 def test_pipeline_on_a_small_table(spark, tmp_path):
     import corpus_pipeline
     for name in ("documents", "labels"):
