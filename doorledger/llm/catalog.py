@@ -46,9 +46,14 @@ pairs AS (
   SELECT url AS a, target AS b FROM edges WHERE contains(target, '://')
   UNION SELECT target, url FROM edges WHERE contains(target, '://')),
 urls AS (SELECT url FROM pages UNION SELECT a FROM pairs),
+rests AS (SELECT url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM urls),
+cuts AS (
+  SELECT url, rest, least(coalesce(nullif(strpos(rest, '/'), 0), length(rest) + 1), coalesce(nullif(strpos(rest, '?'), 0), length(rest) + 1),
+                          coalesce(nullif(strpos(rest, '#'), 0), length(rest) + 1)) AS h,
+         least(coalesce(nullif(strpos(rest, '?'), 0), length(rest) + 1), coalesce(nullif(strpos(rest, '#'), 0), length(rest) + 1)) AS p FROM rests),
 parts AS (
-  SELECT url, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*(/[^?#]*)', 1) AS path FROM urls),
+  SELECT url, translate(substr(rest, 1, h - 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         substr(rest, h, p - h) AS path FROM cuts),
 ruled AS (
   SELECT *, CASE
     WHEN ('.' || host) LIKE '%.www.example.com' AND starts_with(path, '/en/') THEN 'www.example.com/en/'
