@@ -25,6 +25,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -194,6 +195,11 @@ def _sorted_out(batches):
         return out
 
     for b in batches:
+        own = b["h"].to_numpy(zero_copy_only=False)
+        same = np.concatenate([[True], own[1:] == own[:-1], [True]])  # an anchor at the ends may go on
+        single = ~same[:-1] & ~same[1:] & (pc.binary_length(b["places"]).to_numpy(zero_copy_only=False) == _PLACES.itemsize)
+        rest = pa.array(np.flatnonzero(~single))  # anchors with one place hold nothing
+        b = {c: v.take(rest) for c, v in b.items()}
         for h, r1, r2, raw in zip(b["h"].to_pylist(), b["r1"].to_pylist(), b["r2"].to_pylist(), b["places"], strict=True):
             places = np.frombuffer(raw.as_py(), _PLACES)
             if h != anchor:
@@ -221,6 +227,8 @@ def _sorted_out(batches):
 
 def _buckets(key: np.ndarray, at: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions that share their key with others, and the numbers of their keys, in order of the keys."""
+    if not len(at):
+        return at, at
     if bits <= 21:  # key and position are one number, which sorts by itself
         both = np.sort(key << bits | at)
         key, at = both >> bits, both & ((1 << bits) - 1)
@@ -246,7 +254,7 @@ def refined(text: np.ndarray, room: np.ndarray, depth: int = LENGTH, gram: int =
     for k in range(gram):
         key = (key << 8) | text[at + k]
     while True:
-        at, number = _buckets(key, at, bits) if len(at) else (at, at)
+        at, number = _buckets(key, at, bits)
         bucket[:] = -1
         bucket[at] = number
         if size == depth or not len(at):
@@ -271,21 +279,20 @@ def _edges(batches, limit: int = 1 << 19):
         inner = np.arange(len(text)) - begin[of]
         bucket = refined(text, lengths[of] - inner)
         use = np.flatnonzero(bucket >= 0)
-        rid = np.array([r[1] for r in held])[of[use]]
+        rids, number = np.unique(np.array([r[1] for r in held]), return_inverse=True)
         place = np.array([r[2] for r in held])[of[use]] + inner[use]
+        where = number[of[use]] << 40 | place  # row and place as one number
         many = np.array([bool(r[3]) for r in held])[of[use]]
-        b = bucket[use]
-        order = np.lexsort((place, rid, b))
-        b, rid, place, many = b[order], rid[order], place[order], many[order]
-        other = np.zeros(len(b), bool)
-        if len(b):
-            head = np.concatenate([[True], b[1:] != b[:-1]])
-            new = head | np.concatenate([[True], (rid[1:] != rid[:-1]) | (place[1:] != place[:-1])])
-            group = np.cumsum(head) - 1
-            other = np.bincount(group, new)[group] + np.bincount(group, many)[group] >= 2
-        out = np.unique(np.stack([rid[other], place[other]], 1), axis=0)
+        at, group = _buckets(bucket[use], np.arange(len(use)), max(len(text).bit_length(), 1))
+        out = np.zeros(0, np.int64)
+        if len(at):
+            heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+            again = np.minimum.reduceat(where[at], heads) != np.maximum.reduceat(where[at], heads)
+            again |= np.logical_or.reduceat(many[at], heads)
+            out = np.unique(where[at][np.repeat(again, np.diff(np.append(heads, len(at))))])
         held.clear()
-        return _packed(out[:, 0], out[:, 1], out[:, 1] + LENGTH)
+        place = out & ((1 << 40) - 1)
+        return _packed(rids[out >> 40], place, place + LENGTH)
 
     for b in batches:
         for row in zip(*(b[c].to_pylist() for c in ("h", RID, "start", "known", "bytes")), strict=True):
