@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from doorledger.catalog.tables import table
 from doorledger.functions import vectors as v
-from doorledger.operators import pooling, similarity
+from doorledger.operators import pooling, pruned, similarity
 
 
 def _emb(spark, sf_dir):
@@ -64,6 +64,13 @@ def best_match_blocked(spark, sf_dir):
     return r.select("query_id", "match_id", F.round("score", 6).alias("score"))
 
 
+def best_match_pruned(spark, sf_dir):
+    """The same answers from the blocks of the gallery that can hold them."""
+    e = _emb(spark, sf_dir)
+    r = pruned.pruned_best_match(e, e, 0.35, query_id="vec_id", gallery_id="vec_id")
+    return r.select("query_id", "match_id", F.round("score", 6).alias("score"))
+
+
 def _same_person(limit):
     def run(spark, sf_dir):
         r = pooling.same_person(_emb(spark, sf_dir), "label", "vec_id", limit)
@@ -131,6 +138,13 @@ QUERIES = {
         FROM emb a, emb b)
         SELECT q AS query_id, CASE WHEN c >= 0.35 THEN m END AS match_id, round(c, 6) AS score
         FROM s WHERE n = 1"""),
+    "best_match_pruned": (best_match_pruned, f"""WITH {_TEMPLATES_SQL}, s AS (
+        SELECT a.vec_id AS q, b.vec_id AS m, list_cosine_similarity(a.e, b.e) AS c,
+               row_number() OVER (PARTITION BY a.vec_id
+                 ORDER BY list_cosine_similarity(a.e, b.e) DESC, b.vec_id) AS n
+        FROM emb a, emb b)
+        SELECT q AS query_id, CASE WHEN c >= 0.35 THEN m END AS match_id, round(c, 6) AS score
+        FROM s WHERE n = 1"""),
     "same_person_check": (_same_person(0.4), _same_sql(0.4)),
     "same_person_wide": (_same_person(1.2), _same_sql(1.2)),
 }
