@@ -36,12 +36,16 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL2 = r"""
 WITH RECURSIVE links AS (
-  SELECT url, regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) AS root, unnest([
-    regexp_extract(regexp_extract(html, '(?i)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
-    regexp_extract(regexp_extract(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1)
-  ]) AS t FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+  SELECT url, replace(t, '&amp;', '&') AS t FROM (SELECT url, unnest(list_concat(
+    [regexp_extract(x, '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
+     FOR x IN regexp_extract_all(html, '(?i)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>')],
+    [regexp_extract(x, '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1)
+     FOR x IN regexp_extract_all(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>')])) AS t
+  FROM pages WHERE url IS NOT NULL AND html IS NOT NULL)),
 edges AS (
-  SELECT url, CASE WHEN t LIKE '/%' AND t NOT LIKE '//%' THEN root || t ELSE t END AS target FROM links),
+  SELECT url, CASE WHEN t LIKE '//%' THEN substr(url, 1, strpos(url, '://')) || t
+    WHEN t LIKE '/%' THEN substr(url, 1, strpos(url, '://') + 2) || regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*') || t
+    ELSE t END AS target FROM links),
 pairs AS (
   SELECT url AS a, target AS b FROM edges WHERE contains(target, '://')
   UNION SELECT target, url FROM edges WHERE contains(target, '://')),

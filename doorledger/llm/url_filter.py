@@ -3,12 +3,14 @@
 A url's own rule decides first, the longest that fits; so an explicit allow is never overruled. Urls
 without a rule that redirect to, or name as canonical, or are so named by, a blocked url (over any
 number of steps) are blocked too; all others are allowed. Aliases are the connected components over edges
-from each page to all its canonical links and refresh targets, found by distributed star contraction.
+from each page to all its canonical links and refresh targets, found by distributed star contraction over numbers that
+linked urls get in a stored table, never over their hashes.
 Targets are decoded and, where relative, resolved against the page's url (a base tag is not read).
 The rule list is a parameter of at most ``MAX_RULES`` entries and becomes one column expression.
 
 Null urls and those without ``://`` have an empty host and path and fit no rule; null or empty html
-holds no link. Rows may repeat; an empty table gives no rows; further columns stay untouched.
+holds no link. Rows may repeat; an empty table gives no rows; further columns stay untouched, but for those named
+host, path, rule or verdict, whose place the results take.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from html.entities import html5
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from doorledger.llm.common import connected_components, map_rows
+from doorledger.llm.common import RID, connected_components, map_rows, numbered, stored
 
 MAX_RULES = 1000
 
@@ -120,16 +122,17 @@ def links(pages: DataFrame, url: str, html: str) -> DataFrame:
 
 def judged(pages: DataFrame, rules: tuple[Rule, ...], url: str = "url", html: str = "html") -> DataFrame:
     """All columns of ``pages`` with host, path, rule and verdict."""
-    edges = links(pages, url, html)
-    node = lambda c: F.xxhash64(F.col(c))
-    component = connected_components(edges.select(node("url").alias("src"), node("target").alias("dst")))
-    urls = edges.select("url").union(edges.select("target")).distinct()
-    blocked = (urls.where(rule_of(host_of(F.col("url")), path_of(F.col("url")), rules)["verdict"] == "block")
-               .select(node("url").alias("node")).join(component, "node").select("component").distinct())
-    aliases = component.join(blocked, "component", "left_semi").select(F.col("node").alias("_node")).distinct()
-    rows = (pages.withColumn("_node", node(url)).join(aliases.withColumn("_alias", F.lit(True)), "_node", "left").drop("_node")
-            .withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url))))
-    own = rule_of(F.col("host"), F.col("path"), rules)
-    return (rows.withColumn("rule", own["rule"])
-            .withColumn("verdict", F.coalesce(own["verdict"], F.when(F.col("_alias"), "block").otherwise("allow")))
-            .drop("_alias"))
+    edges = stored(links(pages, url, html))
+    urls = numbered(edges.select("url").union(edges.select("target")).distinct())
+    ends = (edges.join(urls.select("url", F.col(RID).alias("src")), "url")
+            .join(urls.select(F.col("url").alias("target"), F.col(RID).alias("dst")), "target"))
+    nodes = urls.join(connected_components(ends.select("src", "dst")).withColumnRenamed("node", RID), RID)
+    blocked = (nodes.where(rule_of(host_of(F.col("url")), path_of(F.col("url")), rules)["verdict"] == "block")
+               .select("component").distinct())
+    aliases = nodes.join(blocked, "component", "left_semi").select(F.col("url").alias("__alias")).distinct()
+    rows = (pages.join(aliases, F.col(url) == F.col("__alias"), "left")
+            .withColumns({"__host": host_of(F.col(url)), "__path": path_of(F.col(url))}))
+    own = rule_of(F.col("__host"), F.col("__path"), rules)
+    found = {"host": F.col("__host"), "path": F.col("__path"), "rule": own["rule"],
+             "verdict": F.coalesce(own["verdict"], F.when(F.col("__alias").isNotNull(), "block").otherwise("allow"))}
+    return rows.withColumns(found).drop("__alias", "__host", "__path")
