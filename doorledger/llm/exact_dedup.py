@@ -4,7 +4,8 @@ Each task inserts its texts into a trie, so that only one copy per task and text
 length-and-content-hash partitions then insert those byte strings into tries of their own. Equal
 hashes alone never make two texts equal. A trie over its memory budget hands on its heaviest
 subtree and forgets it: its texts are then simply handed on twice and meet in the next trie.
-In the second pass the rows come sorted by length and hash, so every finished subtree leaves at once.
+In the second pass the rows come sorted by length and hash, so that all copies of a text are there before the next length
+and hash; only between those does a partition's trie hand on subtrees, and their owners are final.
 
 Texts are compared after replacing each run of bytes 0x20, 0x09-0x0D by one space; null counts as
 empty. The row with the smallest id stays, null ids come last, and of rows repeated with the same
@@ -182,38 +183,45 @@ def _local(budget: int):
     return run
 
 
-def _owners(batches):
-    """Owners of texts that come sorted by length and hash; a finished subtree leaves at once."""
-    trie, now, out = PatriciaTrie(), None, []
-
-    def finish():
-        for _, (order, n, labels) in trie.drain():
-            keep = (None if order[0] else order[1], order[2])
-            out.extend((label, *keep, n) for label in labels)
-
-    def columns():
-        rows, out[:] = list(zip(*out, strict=True)), []
-        return {k: list(v) for k, v in zip(("label", "keep_id", "keep_rid", "group_size"), rows, strict=True)}
-
-    for b in batches:
-        cols = {k: b[k].to_pylist() for k in ("size", "hash", "id", "rid", "n", "label")}
-        for i, text in enumerate(b["text"]):
-            key = (cols["size"][i], cols["hash"][i])
-            if key != now:
-                finish()
-                now = key
-            order = _order(cols["id"][i], cols["rid"][i])
-            node = trie.terminal(text.as_py())
-            if node.owner is None:
-                node.owner = [order, 0, []]
-            node.owner[0] = min(node.owner[0], order)
-            node.owner[1] += cols["n"][i]
-            node.owner[2].append(cols["label"][i])
+def _owners(budget: int):
+    """Owners of texts that come sorted by length and hash, from one trie over the whole partition.
+
+    A trie over its budget spills its heaviest subtrees once a new length or hash begins: their texts don't come again.
+    """
+    def run(batches):
+        trie, now, out = PatriciaTrie(), None, []
+
+        def emit(found):
+            for _, (order, n, labels) in found:
+                keep = (None if order[0] else order[1], order[2])
+                out.extend((label, *keep, n) for label in labels)
+
+        def columns():
+            rows, out[:] = list(zip(*out, strict=True)), []
+            return {k: list(v) for k, v in zip(("label", "keep_id", "keep_rid", "group_size"), rows, strict=True)}
+
+        for b in batches:
+            cols = {k: b[k].to_pylist() for k in ("size", "hash", "id", "rid", "n", "label")}
+            for i, text in enumerate(b["text"]):
+                key = (cols["size"][i], cols["hash"][i])
+                if key != now:
+                    while trie.size > budget:
+                        emit(trie.spill())
+                    now = key
+                order = _order(cols["id"][i], cols["rid"][i])
+                node = trie.terminal(text.as_py())
+                if node.owner is None:
+                    node.owner = [order, 0, []]
+                node.owner[0] = min(node.owner[0], order)
+                node.owner[1] += cols["n"][i]
+                node.owner[2].append(cols["label"][i])
+            if out:
+                yield columns()
+        emit(trie.drain())
         if out:
             yield columns()
-    finish()
-    if out:
-        yield columns()
+
+    return run
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -227,7 +235,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     mapped = stored(map_rows(rows, _local(trie_bytes), _MAPPED))
     owners = map_rows(mapped.where("not member").select("size", "hash", "id", "rid", "n", "label", "text")
                       .repartition(shuffle_parts(docs), "size", "hash").sortWithinPartitions("size", "hash"),
-                      _owners, _OWNED)
+                      _owners(trie_bytes), _OWNED)
     members = mapped.where("member").select("rid", "id", "label", "sha")
     return members.join(owners, "label").select(
         F.col("rid").alias(RID), "id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"),
