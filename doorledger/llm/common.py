@@ -52,6 +52,13 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))
 
 
+def spread(text: Column, pieces: int, chars: int) -> Column:
+    """The text, or of one longer than ``pieces`` x ``chars`` characters so many pieces, evenly spread from its start to its end."""
+    step = (F.length(text) - chars) / (pieces - 1)
+    cuts = [text.substr(F.floor(step * k).cast("int") + 1, F.lit(chars)) for k in range(pieces)]
+    return F.when(F.length(text) > pieces * chars, F.concat_ws(" ", *cuts)).otherwise(text)
+
+
 def arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

@@ -4,7 +4,8 @@ Filters of several widths slide over the one-hot bytes of a window, their highes
 feed a softmax. A filter's weights are one number per place and byte, so its values are sums of table
 look-ups; pairs of bytes share one table. A text is cut into consecutive windows, the last one
 padded, and the mean of their probabilities, weighted by their letters, is its result; no byte
-is left out. Training takes at most ``sample_rows`` rows, chosen by id hash, and ``windows`` windows of each.
+is left out. Training takes at most ``rows_per_language`` rows of a language and ``sample_rows`` in all, chosen by id hash; of a text
+longer than ``pieces`` x ``piece_chars`` characters so many pieces, spread over the whole of it; and ``windows`` windows of what is taken.
 
 Null texts and texts without a letter are ``und`` with score 0. Rows with null id, language or text are
 not learned from; with no rows to learn from everything is ``und``. Repeated rows are predicted alike.
@@ -16,10 +17,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from doorledger.llm.common import fold
+from doorledger.llm.common import fold, spread
 
 WINDOW = 256
 WIDTHS, FILTERS = (2, 3, 4), 8
@@ -167,15 +168,22 @@ def fit(texts: list[str], labels: list[str], windows: int = 6) -> ByteCNN:
     return model
 
 
-def train(docs: DataFrame, sample_rows: int = 1500, sample_chars: int = 8000, id_col: str = "doc_id",
-          text_col: str = "text", lang_col: str = "lang") -> ByteCNN:
-    """Fit on at most ``sample_rows`` rows of folds other than 2 (of 4), chosen by id hash."""
-    usable = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
-                        & (fold(F.col(id_col), 4) != 2))
-    ids = usable.select(F.col(id_col).alias("_id")).distinct().orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
-    rows = (usable.select(F.col(id_col).alias("_id"), F.substring(text_col, 1, sample_chars).alias("_text"), F.col(lang_col).alias("_lang"))
-            .join(F.broadcast(ids), "_id")  # at most sample_rows ids, found before any text is moved
-            .orderBy(F.xxhash64("_id"), "_text", "_lang").limit(sample_rows).collect())
+def train(docs: DataFrame, rows_per_language: int = 375, sample_rows: int = 3000, pieces: int = 6, piece_chars: int = 1300,
+          id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteCNN:
+    """Fit on rows of folds other than 2 (of 4), chosen by id hash: a bounded number per language and in all.
+
+    Where more languages occur than ``sample_rows`` has room for, each gives equally many. Of rows that repeat
+    an id and a language the lowest text is taken.
+    """
+    usable = (docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
+                         & (fold(F.col(id_col), 4) != 2))
+              .select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")))
+    nth = F.row_number().over(Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id"))
+    ids = (usable.select("_id", "_lang").distinct().withColumn("_nth", nth).where(F.col("_nth") <= rows_per_language)
+           .orderBy("_nth", F.xxhash64("_id"), "_id", "_lang").limit(sample_rows).drop("_nth"))
+    rows = (usable.join(F.broadcast(ids), ["_id", "_lang"])  # at most sample_rows ids, found before any text is moved
+            .groupBy("_id", "_lang").agg(F.min(spread(F.col("_text"), pieces, piece_chars)).alias("_text"))
+            .orderBy(F.xxhash64("_id"), "_lang").collect())
     return fit([r["_text"] for r in rows], [r["_lang"] for r in rows])
 
 

@@ -3,7 +3,7 @@
 Features of a text: density of lexicon words (given and learned), density of learned word
 beginnings, hits near a second-person word, capitals, punctuation, exclamation marks, obfuscated
 spellings and length. The trees are grown in numpy on the driver on a bounded sample of labelled
-rows (``sample_rows`` rows, the first ``sample_chars`` characters of each); scoring is one pass
+rows (``sample_rows`` rows, of long texts ``pieces`` spread over the whole text); scoring is one pass
 over whole texts without a shuffle.
 
 Null and empty texts get the score of a text without any hit. Rows with a null id or a null label
@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from doorledger.llm.common import fold
+from doorledger.llm.common import fold, spread
 
 # fixed values: common insults and second-person words
 INSULTS = ("idiot", "moron", "stupid", "dumb", "loser", "scum", "trash", "pathetic", "worthless",
@@ -264,14 +264,17 @@ def fit(texts: list[str | None], labels: list[int], folds: list[int],
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000, sample_chars: int = 20000,
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000, pieces: int = 5, piece_chars: int = 4000,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
-    """Fit on at most ``sample_rows`` labelled rows of folds other than 0, chosen by id hash."""
+    """Fit on at most ``sample_rows`` labelled rows of folds other than 0, chosen by id hash.
+
+    Of a text longer than ``pieces`` x ``piece_chars`` characters so many pieces are read, spread over the whole of it.
+    """
     chosen = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()
                            & (fold(F.col(id_col), 5) != 0))
               .select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
               .dropDuplicates(["_id"]).orderBy(F.xxhash64("_id"), "_id").limit(sample_rows))
-    rows = (docs.select(F.col(id_col).alias("_id"), F.substring(text_col, 1, sample_chars).alias("_text"))
+    rows = (docs.select(F.col(id_col).alias("_id"), spread(F.col(text_col), pieces, piece_chars).alias("_text"))
             .join(F.broadcast(chosen), "_id")  # at most sample_rows ids
             .select("_text", "_y", fold(F.col("_id"), 5).alias("_fold"))
             .orderBy(F.xxhash64("_id"), "_text").limit(sample_rows).collect())
