@@ -396,3 +396,81 @@ def test_refined_regions_equal_substrings(seed):
     for p in np.flatnonzero(bucket >= 0).tolist():
         got[bucket[p]].add(p)
     assert {frozenset(v) for v in by.values() if len(v) > 1} == {frozenset(v) for v in got.values()}
+
+
+def test_verdicts_equal_a_closure_over_links(spark):
+    """Generated pages with links of every form against a plain closure, and against the query's SQL where that states them."""
+    import duckdb
+    from doorledger.llm.catalog import SQL2
+
+    rng = np.random.default_rng(11)
+    urls = [f"http://{h}/{p}/{i}" for i in range(12) for h, p in (("a.net", "es"), ("b.org", "en"), ("c.net", "xx"), ("x.com", "en"))]
+
+    def pages_of(forms):
+        out = []
+        for k, u in enumerate(urls):
+            tags = []
+            for _ in range(rng.integers(0, 3)):
+                t = forms[rng.integers(len(forms))](urls[rng.integers(len(urls))])
+                tags.append(f'<link rel="canonical" href="{t}">' if rng.random() < 0.5 else f"<meta http-equiv='refresh' content='0;url={t}'>")
+            if rng.random() < 0.4:
+                out.append((k, u, "<p>".join(tags) or None, "h", 1))
+        return [*out, (97, None, "<p>", "h", 1), (98, "none", "", "h", 1), (98, "none", "", "h", 1)]
+
+    plain = [lambda u: u, lambda u: u[5:], lambda u: u[u.index("/", 7):], lambda u: u + "?a=1&amp;b=2"]
+    odd = [*plain, lambda u: "../en/" + u[-1], lambda u: "?q=" + u[-1], lambda u: u[-1]]
+    for forms in (plain, odd):
+        pages = pages_of(forms)
+        df = spark.createDataFrame(pages, "page_id long, url string, html string, host string, _node int")
+        got = url_filter.judged(df, url_filter.RULES)
+        assert set(got.columns) == {"page_id", "url", "html", "host", "_node", "path", "rule", "verdict"}
+        near = defaultdict(set)
+        for _, u, html, *_ in pages:
+            for t in re.findall(r"""(?:href="|;url=)([^"']+)""", html or ""):
+                t = url_filter.resolved(u, t.replace("&amp;", "&"))
+                near[u].add(t)
+                near[t].add(u)
+
+        def own(u):
+            host, _, path = u.split("://", 1)[1].partition("/") if "://" in u else ("", "", "")
+            path = ("/" + path).split("?")[0]
+            return ("block" if host.endswith(".net") and path.startswith(("/es/", "/fr/")) else "allow" if host.endswith(".com") else None)
+
+        want = Counter()
+        for k, u, *_ in pages:
+            seen, todo = {u}, [u] if u else []
+            while todo:
+                new = near[todo.pop()] - seen
+                seen |= new
+                todo += new
+            want[k, (own(u or "") or ("block" if any(own(v) == "block" for v in seen if v) else "allow"))] += 1
+        assert Counter((r.page_id, r.verdict) for r in got.collect()) == want and len({v for _, v in want}) == 2
+        if forms is plain:
+            with duckdb.connect() as con:
+                table = df.select("page_id", "url", "html").toPandas()
+                con.register("pages", table)
+                assert Counter((r[0], r[4]) for r in con.execute(SQL2).fetchall()) == want
+
+
+def test_owner_tries_spill_between_texts(odd_docs):
+    """With a budget so small that every new length and hash spills, the owners are the same."""
+    def rows(budget):
+        found = exact_dedup.exact_groups(odd_docs, trie_bytes=budget)
+        return Counter((r.id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in found.collect())
+
+    assert rows(1) == rows(exact_dedup.TRIE_BYTES)
+    texts = sorted([f"{i:03d}" + "x" * (i % 7) for i in range(60)] * 2, key=len)
+    batch = {"size": [len(t) for t in texts], "hash": [hash(t) for t in texts], "id": list(range(120)), "rid": list(range(120)),
+             "n": [1] * 120, "label": list(range(120)), "text": [t.encode() for t in texts]}
+    order = sorted(range(120), key=lambda i: (batch["size"][i], batch["hash"][i]))
+    import pyarrow as pa
+    batch = {k: pa.array([v[i] for i in order], pa.binary() if k == "text" else pa.int64()) for k, v in batch.items()}
+    seen = {}
+    for out in exact_dedup._owners(4000)(iter([batch])):
+        seen.update(zip(out["label"], zip(out["keep_id"], out["group_size"], strict=True), strict=True))
+    assert seen == {i: (min(j for j in range(120) if texts[j] == texts[i]), 2) for i in range(120)}
+
+
+def test_samples_spread_over_whole_texts(spark):
+    df = spark.createDataFrame([("abcdefghijklmnopqrstuvwxyz",), ("abcdefghi",), ("",), (None,)], "t string")
+    assert [r[0] for r in df.select(common.spread(F.col("t"), 3, 3)).collect()] == ["abc lmn xyz", "abcdefghi", "", None]
