@@ -30,6 +30,8 @@ def run_daily(spark: SparkSession, lake_base: str, report_base: str, date: str |
         return None
     report = process_day(spark, lake_base, report_base, date)
     now = now or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    old = lake.retention_candidates(lake.list_objects(spark, report_base), now, retention_days)
-    lake.apply_retention(old, dry_run=not delete_expired)
+    if delete_expired:
+        lake.expire_objects(spark, report_base, now, retention_days)
+    else:
+        lake.apply_retention(lake.retention_candidates(lake.list_objects(spark, report_base), now, retention_days))
     return report

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date as Date
+from itertools import islice
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doorledger.schemas import ACCESS_LOG, SUMMARY
+from doorledger.session import settled
 
 # JSON lines as written by the generator or landed as raw text
 LOG_FILES = "*.{json,json.*,txt,txt.*}"
@@ -52,7 +57,10 @@ def read_lake(spark: SparkSession, base: str) -> DataFrame:
 
 def list_objects(spark: SparkSession, base: str, prefix: str = "",
                  glob: str | None = None) -> DataFrame:
-    """Object path, size and modification time below a prefix; contents are not read."""
+    """Object path, size and modification time below a prefix; contents are not read.
+
+    Spark's file source skips objects of no bytes, so those are not listed and never expire.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -87,25 +95,51 @@ def retention_candidates(objects: DataFrame, now: str, days: int = 90) -> DataFr
     return objects.where(F.col("modificationTime") < limit)
 
 
-def apply_retention(candidates: DataFrame, dry_run: bool = True) -> dict[str, int]:
+def apply_retention(candidates: DataFrame, dry_run: bool = True, threads: int = 16) -> dict[str, int]:
     """Count, and only when ``dry_run`` is False delete, the candidates.
 
-    Paths are streamed one partition at a time; they are never gathered on the driver.
+    Paths are streamed one partition at a time, never gathered on the driver, and deleted by a bounded number of threads.
+    An object that cannot be deleted does not stop the others; ``expire_objects`` tells which those are.
     """
     if dry_run:
         row = candidates.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
         return {"objects": row[0], "bytes": row[1], "deleted": 0}
-    spark = candidates.sparkSession
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    delete = _deleter(candidates.sparkSession)
     objects = size = deleted = 0
-    for r in candidates.select("path", "length").toLocalIterator():
-        path = hadoop.Path(r["path"])
-        objects, size = objects + 1, size + r["length"]
-        deleted += bool(path.getFileSystem(conf).delete(path, False))
+    with ThreadPoolExecutor(threads) as pool:
+        rows = candidates.select("path", "length").toLocalIterator()
+        while chunk := list(islice(rows, 64 * threads)):
+            objects, size = objects + len(chunk), size + sum(r["length"] for r in chunk)
+            deleted += sum(pool.map(delete, (r["path"] for r in chunk)))
     return {"objects": objects, "bytes": size, "deleted": deleted}
 
 
+def _deleter(spark: SparkSession) -> Callable[[str], bool]:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def delete(path: str) -> bool:
+        target = hadoop.Path(path)
+        try:
+            return bool(target.getFileSystem(conf).delete(target, False))
+        except Py4JJavaError:
+            return False
+
+    return delete
+
+
+def expire_objects(spark: SparkSession, base: str, now: str, days: int = 90, threads: int = 16) -> DataFrame:
+    """Delete the objects below ``base`` that are too old: a row for each, with whether it is gone.
+
+    The candidates are written before the first is deleted; what is left is seen by listing again.
+    """
+    old = settled(retention_candidates(list_objects(spark, base), now, days))
+    apply_retention(old, dry_run=False, threads=threads)
+    left = list_objects(spark, base).select("path", "modificationTime", F.lit(True).alias("left"))
+    return settled(old.join(left, ["path", "modificationTime"], "left")
+                   .select("path", "length", "modificationTime", F.col("left").isNull().alias("deleted")))
+
+
 def dataset_manifest(spark: SparkSession, base: str, logs: DataFrame) -> DataFrame:
     """Written records, files, bytes, users and time range of a generated or ingested lake."""
     files = list_objects(spark, base, glob=LOG_FILES).agg(
