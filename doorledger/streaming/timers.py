@@ -18,16 +18,18 @@ the timers up to the final watermark fire.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Iterator, Sequence
+import pickle
+from collections.abc import Iterator, Sequence
 from itertools import pairwise
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.types import StructField, StructType
 
 from doorledger.operators.detect import Rule
 from doorledger.streaming.fraud import _OUT, _remaining, trailing_counts
@@ -105,95 +107,195 @@ def timed_counts(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                                         _OUT, "append", "eventTime"))
 
 
+#: Series are dealt over so many groups; saved state depends on it. Rows of a saved chunk, and rows folded at a time.
+_SHARDS, _CHUNK, _STEP = 256, 8192, 1 << 18
+
+
+def _series(columns: list[pa.ChunkedArray]) -> tuple[np.ndarray, list[tuple]]:
+    """A number per row and, by number, the key columns' values of its series."""
+    codes = np.zeros(len(columns[0]), dtype=np.int64)
+    for column in columns:
+        encoded = column.combine_chunks().dictionary_encode("encode")
+        codes = pd.factorize(codes * len(encoded.dictionary) + encoded.indices.to_numpy())[0]
+    _, first = np.unique(codes, return_index=True)
+    return codes, list(zip(*[column.take(pa.array(first)).to_pylist() for column in columns], strict=True))
+
+
+def _packed(rows: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema) as writer:
+        writer.write_table(rows)
+    return out.getvalue().to_pybytes()
+
+
+def _unpacked(blob: bytes) -> pa.Table:
+    return pa.ipc.open_stream(bytes(blob)).read_all()
+
+
 class InOrder(StatefulProcessor):
-    """Folds a key's rows (``us``, ``v``) in order of time, once the watermark has passed them.
+    """Folds the rows (``us``, ``v``) of series in order of time, once the watermark has passed them.
 
-    A subclass gives ``STATE`` (DDL of what it remembers), ``OUT`` (names of its columns) and ``fold``.
+    A group holds many series, so that calls and saved values do not grow with their number. Rows wait in
+    chunks sorted by time, which are read one after the other: a fold holds a step's rows, whatever a series' length.
+    A subclass gives ``OUT`` (names of its columns) and ``fold``, or ``fold_all``.
     """
 
-    STATE, VALUE, OUT = "", "double", ()
+    VALUE, OUT = np.float64, ()
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", f"us bigint, v {self.VALUE}")
-        self.folded = handle.getValueState("folded", self.STATE)
-        self.timer = handle.getValueState("timer", "ms bigint")
+        self.held = handle.getMapState("held", "n bigint", "packed binary")
+        self.index = handle.getValueState("index", "timer bigint, n array<bigint>, first array<bigint>")
+        self.folded = handle.getValueState("folded", "states binary")
 
     def fold(self, state: tuple | None, us: list[int], values: list, limit: int) -> tuple[tuple | None, list[tuple], int | None]:
-        """State after the rows, which lie before ``limit``; rows out; when to look again without new rows."""
+        """State after a series' rows, which lie before ``limit``; rows out; when to look again without new rows."""
         raise NotImplementedError
 
-    def _wake(self, us: int) -> None:
-        """Look at this key when the watermark reaches the millisecond of ``us``, unless that happens sooner."""
-        ms = us // 1000 - 1  # a timer fires when the watermark is beyond it
-        if self.timer.exists():
-            old = self.timer.get()[0]
-            if old <= ms:
-                return
-            self.handle.deleteTimer(old)
-        self.handle.registerTimer(ms)
-        self.timer.update((ms,))
+    def fold_all(self, names: list[tuple], codes: np.ndarray, us: np.ndarray, values: np.ndarray, states: dict, limit: int) -> Iterator[pd.DataFrame]:
+        """Rows out of many series, whose rows come by number and time; ``states`` gets their states and when to look again."""
+        cuts = np.searchsorted(codes, np.arange(len(names) + 1)).tolist()
+        us, values, found = us.tolist(), values.tolist(), []
+        for name, (a, b) in zip(names, pairwise(cuts), strict=True):
+            state, out, again = self.fold(states.get(name, (None,))[0], us[a:b], values[a:b], limit)
+            if state is None:
+                states.pop(name, None)
+            else:
+                states[name] = (state, again)
+            found += [(*name, *row) for row in out]
+        if found:
+            columns = [*[f"k{i}" for i in range(len(names[0]))], *self.OUT]
+            yield pd.DataFrame({c: [row[i] for row in found] for i, c in enumerate(columns)})
+
+    def _fold_rows(self, rows: pa.Table, states: dict, limit: int) -> Iterator[pd.DataFrame]:
+        codes, names = _series(rows.columns[:-2])
+        us, values = (rows[c].to_numpy() for c in ("us", "v"))
+        order = np.lexsort((values, us, codes))
+        yield from self.fold_all(names, codes[order], us[order], values[order], states, limit)
+
+    def _hold(self, rows: pa.Table, ids: list[int], firsts: list[int]) -> None:
+        rows = rows.take(pa.array(np.argsort(rows["us"].to_numpy(), kind="stable")))
+        for at in range(0, rows.num_rows, _CHUNK):
+            chunk = rows.slice(at, _CHUNK)
+            ids.append(max(ids, default=-1) + 1)
+            firsts.append(chunk["us"][0].as_py())
+            self.held.updateValue((ids[-1],), (_packed(chunk),))
+
+    def _remember(self, timer: int | None, ids: list[int], firsts: list[int], again: int | None = None) -> None:
+        """Look at this group when the watermark reaches its first chunk, or what its states wait for."""
+        wake = firsts if again is None else [*firsts, again]
+        ms = min(wake) // 1000 - 1 if wake else None  # a timer fires when the watermark is beyond it
+        if timer is not None and (ms is None or ms < timer):
+            self.handle.deleteTimer(timer)
+        if ms is not None and (timer is None or ms < timer):
+            self.handle.registerTimer(ms)
+            timer = ms
+        if wake:
+            self.index.update((timer, ids, firsts))
+        elif self.index.exists():
+            self.index.clear()
+
+    def _known(self) -> tuple[int | None, list[int], list[int]]:
+        timer, ids, firsts = self.index.get() if self.index.exists() else (None, [], [])
+        return timer, list(ids), list(firsts)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = None
+        timer, ids, firsts = self._known()
+        run, n = [], 0
         for pdf in rows:
-            us = pdf["us"].tolist()
-            self.held.appendList(list(zip(us, pdf["v"].tolist(), strict=True)))
-            first = min(us) if first is None else min(first, *us)
-        if first is not None:
-            self._wake(first)
+            keys = [c for c in pdf.columns if c.startswith("k")]
+            run.append(pa.table({**{c: pa.array(pdf[c], pa.string(), from_pandas=True) for c in keys},
+                                 "us": pdf["us"].to_numpy(np.int64), "v": pdf["v"].to_numpy(self.VALUE)}))
+            n += len(pdf)
+            if n >= _STEP:
+                self._hold(pa.concat_tables(run), ids, firsts)
+                run, n = [], 0
+        if n:
+            self._hold(pa.concat_tables(run), ids, firsts)
+        self._remember(timer, ids, firsts)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         limit = (timerValues.getCurrentWatermarkInMs() + 1) * 1000
-        self.timer.clear()
-        held = list(self.held.get()) if self.held.exists() else []
-        now = sorted((us, v) for us, v in held if us < limit)
-        later = [(us, v) for us, v in held if us >= limit]
-        old = self.folded.get() if self.folded.exists() else None
-        state, out, again = self.fold(old, [us for us, _ in now], [v for _, v in now], limit)
-        if state is None:
+        _, ids, firsts = self._known()
+        states = pickle.loads(self.folded.get()[0]) if self.folded.exists() else {}
+        due = sorted((first, n) for first, n in zip(firsts, ids, strict=True) if first < limit)
+        later = [(n, first) for first, n in zip(firsts, ids, strict=True) if first >= limit]
+        ids, firsts = [n for n, _ in later], [first for _, first in later]
+        run, size, room = [], 0, _STEP
+        for (_, n), following in zip(due, [*due[1:], None], strict=False):
+            run.append(_unpacked(self.held.getValue((n,))[0]))
+            self.held.removeKey((n,))
+            size += run[-1].num_rows
+            if following is not None and size < room:
+                continue
+            bound = limit if following is None else following[0]  # no chunk to come holds an earlier row
+            rows = pa.concat_tables(run)
+            now = rows["us"].to_numpy() < bound
+            if now.any():
+                yield from self._fold_rows(rows.filter(pa.array(now)), states, bound)
+            run = [rows.filter(pa.array(~now))]
+            size = run[0].num_rows
+            room = size + _STEP
+        if size:
+            self._hold(run[0], ids, firsts)
+        idle = [name for name, (_, again) in states.items() if again is not None and again < limit]
+        if idle:
+            none = np.array([], dtype=np.int64)
+            yield from self.fold_all(idle, none, none, none, states, limit)
+        if states:
+            self.folded.update((pickle.dumps(states, protocol=5),))
+        elif self.folded.exists():
             self.folded.clear()
-        else:
-            self.folded.update(state)
-        if now:
-            if later:
-                self.held.put(later)
-            else:
-                self.held.clear()
-        wake = [us for us, _ in later] + ([again] if again is not None else [])
-        if wake:
-            self._wake(min(wake))
-        if out:
-            frame = {name: [row[i] for row in out] for i, name in enumerate(self.OUT)}
-            yield pd.DataFrame({**{f"k{i}": [k] * len(out) for i, k in enumerate(key)}, **frame})
+        self._remember(None, ids, firsts, min((again for _, again in states.values() if again is not None), default=None))
 
     def close(self) -> None:
         pass
 
 
-def in_order(rows: DataFrame, keys: Sequence[str], ts: str, value: Column, processor: InOrder, out: Iterable[StructField],
+def _as_text(rows: DataFrame, key: str) -> Column:
+    kind, value = rows.schema[key].dataType, F.col(key)
+    if isinstance(kind, T.BinaryType):
+        return F.hex(value)
+    if isinstance(kind, (T.ArrayType, T.StructType)):
+        return F.to_json(F.struct(value.alias("k")))
+    # zeros are equal, whatever their sign
+    return (value + F.lit(0.0) if isinstance(kind, (T.FloatType, T.DoubleType)) else value).cast("string")
+
+
+def _from_text(text: str, kind: T.DataType) -> Column:
+    if isinstance(kind, T.BinaryType):
+        return F.unhex(text)
+    if isinstance(kind, (T.ArrayType, T.StructType)):
+        return F.from_json(text, T.StructType([T.StructField("k", kind)]))["k"]
+    return F.col(text).cast(kind)
+
+
+def in_order(rows: DataFrame, keys: Sequence[str], ts: str, value: Column, processor: InOrder, out: T.StructType,
              event_time: str = "") -> DataFrame:
     """``processor`` over the stream's rows by ``keys``; ``ts`` must carry the watermark."""
     use_timers(rows.sparkSession)
     # the operator's frames keep no names that begin with an underscore
-    fields = [StructField(f"k{i}", rows.schema[k].dataType) for i, k in enumerate(keys)]
-    named = rows.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(ts).alias("marked"),
+    names = [f"k{i}" for i in range(len(keys))]
+    named = rows.select(*[_as_text(rows, k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(ts).alias("marked"),
                         F.unix_micros(F.col(ts)).alias("us"), value.alias("v"))
-    folded = named.groupBy(*[f.name for f in fields]).transformWithStateInPandas(
-        processor, StructType([*fields, *out]), "append", "eventTime", None, event_time)
-    return folded.withColumnsRenamed({f.name: k for f, k in zip(fields, keys, strict=True)})
+    folded = named.withColumn("shard", F.pmod(F.xxhash64(*names), F.lit(_SHARDS)).cast("int")).groupBy("shard").transformWithStateInPandas(
+        processor, T.StructType([*[T.StructField(n, T.StringType()) for n in names], *out]), "append", "eventTime", None, event_time)
+    return folded.select(*[_from_text(n, rows.schema[k].dataType).alias(k) for k, n in zip(keys, names, strict=True)], *out.names)
 
 
 def _time(us: int) -> pd.Timestamp:
     return pd.Timestamp(us, unit="us", tz="UTC")
 
 
+def _times(us: np.ndarray) -> pd.Series:
+    return pd.Series(us.astype("datetime64[us]")).dt.tz_localize("UTC")
+
+
 class _Condition(InOrder):
     """Whether a series' condition holds, since when, and whether that was reported."""
 
-    STATE, VALUE = "last bigint, since bigint, fired boolean, stale boolean", "boolean"
-    OUT = ("event", "started", "at")
+    VALUE, OUT = np.bool_, ("event", "started", "at")
 
     def __init__(self, hold_us: int, stale_us: int, absent: bool):
         self.hold_us, self.stale_us, self.absent = hold_us, stale_us, absent
@@ -251,7 +353,7 @@ def condition_events(samples: DataFrame, keys: Sequence[str], holds: Column, sec
     ends; with ``absent=True`` it holds then, as for a job that is down: such an alert fires although no sample
     comes any more. ``samples`` needs a watermark on ``ts``.
     """
-    out = StructType.fromDDL("event string, started timestamp, at timestamp")
+    out = T.StructType.fromDDL("event string, started timestamp, at timestamp")
     return in_order(samples, keys, ts, F.coalesce(holds, F.lit(False)),
                     _Condition(int(seconds * 1e6), int(stale_seconds * 1e6), absent), out)
 
@@ -259,22 +361,37 @@ def condition_events(samples: DataFrame, keys: Sequence[str], holds: Column, sec
 class _Increase(InOrder):
     """The last sample of a counter."""
 
-    STATE, OUT = "us bigint, v double", ("ts", "prev_ts", "increase")
+    OUT = ("ts", "prev_ts", "increase")
 
     def __init__(self, forget_us: int | None):
         self.forget_us = forget_us
 
-    def fold(self, state, us, values, limit):
-        if state is None and not us:
-            return None, [], None
-        rows = ([state] if state else []) + list(zip(us, values, strict=True))
-        out = [] if state else [(_time(us[0]), None, None)]
-        for (t0, v0), (t, v) in pairwise(rows):
-            out.append((_time(t), _time(t0), v if v < v0 else v - v0))
-        again = None if self.forget_us is None else rows[-1][0] + self.forget_us
-        if again is not None and again < limit:
-            return None, out, None
-        return rows[-1], out, again
+    def fold_all(self, names, codes, us, values, states, limit):
+        if not len(us):  # silent series
+            for name in names:
+                del states[name]
+            return
+        starts = np.searchsorted(codes, np.arange(len(names)))
+        ends = np.append(starts[1:], len(us)) - 1
+        none = (0, np.nan)
+        known = [name in states for name in names]
+        before = [states[name][0] if name in states else none for name in names]
+        prev_us, prev = np.roll(us, 1), np.roll(values, 1)
+        prev_us[starts], prev[starts] = [t for t, _ in before], [v for _, v in before]
+        has = np.ones(len(us), dtype=bool)
+        has[starts] = known
+        if self.forget_us is not None:
+            has &= us - prev_us <= self.forget_us
+        for name, t, v in zip(names, us[ends].tolist(), values[ends].tolist(), strict=True):
+            again = None if self.forget_us is None else t + self.forget_us
+            if again is not None and again < limit:
+                states.pop(name, None)
+            else:
+                states[name] = ((t, v), again)
+        columns = zip(*names, strict=True)
+        yield pd.DataFrame({**{f"k{i}": np.array(c, dtype=object)[codes] for i, c in enumerate(columns)},
+                            "ts": _times(us), "prev_ts": _times(prev_us).where(has),
+                            "increase": np.where(has, np.where(values < prev, values, values - prev), np.nan)})
 
 
 def counter_increases(samples: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value",
@@ -284,7 +401,7 @@ def counter_increases(samples: DataFrame, keys: Sequence[str], ts: str = "ts", v
     Rows come in order of time once the watermark has passed them, and keep it for what follows. A series
     that is silent for ``forget_seconds`` begins anew.
     """
-    out = StructType.fromDDL("ts timestamp, prev_ts timestamp, increase double")
+    out = T.StructType.fromDDL("ts timestamp, prev_ts timestamp, increase double")
     forget = None if forget_seconds is None else int(forget_seconds * 1e6)
     return in_order(samples, keys, ts, F.col(value).cast("double"), _Increase(forget), out, "ts")
 

@@ -5,7 +5,10 @@ import random
 import time
 from collections import defaultdict
 from datetime import datetime, timedelta, timezone
+from types import SimpleNamespace
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,6 +167,51 @@ def test_increases_of_shuffled_samples(spark, tmp_path):
     assert sum(o["numRowsDroppedByWatermark"] for p in q.recentProgress for o in p["stateOperators"]) == 0
 
 
+class _Saved(dict):
+    """State variables of one group, and its timers."""
+
+    def __init__(self):
+        self.timers = set()
+        self.registerTimer, self.deleteTimer = self.timers.add, self.timers.remove
+
+    def getValueState(self, name, schema):
+        return SimpleNamespace(exists=lambda: name in self, get=lambda: self[name], clear=lambda: self.pop(name),
+                               update=lambda v: self.__setitem__(name, v))
+
+    def getMapState(self, name, key, schema):
+        return SimpleNamespace(getValue=lambda k: self[name, k], removeKey=lambda k: self.pop((name, k)),
+                               updateValue=lambda k, v: self.__setitem__((name, k), v))
+
+
+def test_a_group_is_folded_in_steps():
+    """Many series share one group's saved values, and a fold holds some steps' rows, however long a series is."""
+    n, limit = 2_000_000, 900_000_000
+    ids = np.arange(n)
+    rows = pd.DataFrame({"k0": np.where(ids % 4 == 0, "k" + (ids % 5000).astype(str).astype(object), "hot"),
+                         "us": ids * 7919 % 1_000_000 * 1000, "v": ids % 100 * 1.0})
+    saved, sizes = _Saved(), []
+    increase = timers._Increase(None)
+    increase.init(saved)
+    fold_all = increase.fold_all
+    increase.fold_all = lambda names, codes, us, *rest: (sizes.append(len(us)), *fold_all(names, codes, us, *rest))[1:]
+    for part in (rows[:n // 2], rows[n // 2:]):
+        assert list(increase.handleInputRows((0,), iter([part[i:i + 10_000] for i in range(0, len(part), 10_000)]), None)) == []
+    mark = SimpleNamespace(getCurrentWatermarkInMs=lambda: limit // 1000 - 1)
+    assert len(saved) < n / 5000 and saved.timers == {-1}
+    saved.timers.clear()  # the timer of the first moment fires
+    got = pd.concat(increase.handleExpiredTimer((0,), mark, None))
+    assert max(sizes) < n / 3 and len(got) == (rows["us"] < limit).sum() and saved.timers == {limit // 1000 - 1}
+    want = rows[rows["us"] < limit].sort_values(["k0", "us", "v"])
+    same = want["k0"] == want["k0"].shift()
+    before = want["v"].shift().where(same)
+    want = pd.DataFrame({"k0": want["k0"], "us": want["us"], "prev": want["us"].shift().where(same),
+                         "increase": np.where(want["v"] < before, want["v"], want["v"] - before)})
+    micros = lambda ts: (ts - pd.Timestamp(0, tz="UTC")) / pd.Timedelta(1, "us")
+    got = pd.DataFrame({"k0": got["k0"], "us": micros(got["ts"]), "prev": micros(got["prev_ts"]), "increase": got["increase"]})
+    names = list(want.columns)
+    pd.testing.assert_frame_equal(got.sort_values(names, ignore_index=True), want.sort_values(names, ignore_index=True), check_dtype=False)
+
+
 @pytest.mark.parametrize("moment", ["before write", "after write"])
 def test_restart_loses_and_doubles_nothing(spark, tmp_path, moment):
     """A job that ends after its state was computed, before or after its output was written, but before the commit."""
