@@ -3,8 +3,8 @@
 A gallery whose size has been checked is sent to the executors once and every Arrow batch
 of queries is multiplied with it: no shuffle at all. A larger one is cut into blocks;
 query blocks meet gallery blocks by an equi cogroup on the block pair, each pair gives only
-its own top k per query, and these are reduced with map-side combination. Both ways are
-exact. Scores are double precision; zero vectors and nulls match nothing; equal scores
+its own top k per query, and these are reduced with map-side combination. Blocks grow with
+the tables up to 32 MB, so that vectors are copied to few tasks. Both ways are exact. Scores are double precision; zero vectors and nulls match nothing; equal scores
 go to the earlier gallery entry.
 """
 
@@ -25,6 +25,8 @@ from doorledger.session import settled
 
 BROADCAST_BYTES = 64 << 20
 BLOCK_BYTES = 32 << 20
+#: Blocks a side that are enough to occupy the executors; more only where blocks would get larger than BLOCK_BYTES.
+_SIDE = 8
 _RESULT = ["query_id", "match_id", "match_order", "score"]
 
 
@@ -93,7 +95,7 @@ def _top(queries: np.ndarray, gallery: Gallery, k: int
         cut = np.partition(sims, sims.shape[1] - k, axis=1)[:, sims.shape[1] - k]
     else:
         cut = sims.min(axis=1)
-    rows, cols = np.nonzero(sims >= (cut - margin)[:, None])
+    rows, cols = np.divmod(np.flatnonzero(sims >= (cut - margin)[:, None]), sims.shape[1])
     rows = able[rows]
     score = np.empty(len(rows))
     step = max(1, BLOCK_BYTES // (16 * width))
@@ -265,8 +267,14 @@ def _by_row(q: DataFrame) -> DataFrame:
 
 
 def _large(q: DataFrame, g: DataFrame, k: int, n: int, width: int, block_bytes: int) -> DataFrame:
-    rows = max(1, block_bytes // (8 * max(1, width)))
-    return _blocked(q, g, k, max(1, math.ceil(q.count() / rows)), max(1, math.ceil(n / rows)))
+    return _blocked(q, g, k, _blocks(q.count(), width, block_bytes), _blocks(n, width, block_bytes))
+
+
+def _blocks(n: int, width: int, block_bytes: int) -> int:
+    """Blocks of a side. Every vector is sent once per block of the other side, so large tables take larger blocks."""
+    def of(size: int) -> int:
+        return max(1, math.ceil(n / max(1, size // (8 * max(1, width)))))
+    return min(of(block_bytes), max(_SIDE, of(max(block_bytes, BLOCK_BYTES))))
 
 
 def best_match(queries: DataFrame, gallery: DataFrame, threshold: float | None = None,
@@ -279,7 +287,8 @@ def best_match(queries: DataFrame, gallery: DataFrame, threshold: float | None =
 
     An empty gallery gives (null, null). A query with no usable score, or whose best is
     exactly -1, gives (null, -1). None and 0 mean the default threshold. Query ids may repeat
-    or be null; every query row has its own answer.
+    or be null; every query row has its own answer. ``block_bytes`` is the least size of the blocks of a gallery too large
+    to share.
     """
     limit = effective_threshold(threshold)
     q, g = _prepare(queries, gallery, query_id, gallery_id, gallery_order, carry)

@@ -177,3 +177,13 @@ def test_repeated_and_null_query_ids_have_their_own_match(spark):
     for limit in (1 << 26, 0):
         found = best_match(q, g, 0.5, broadcast_bytes=limit).collect()
         assert sorted((r.query_id or -1, r.match_id) for r in found) == [(-1, 7), (1, 7), (1, 8)]
+
+
+def test_large_tables_take_larger_blocks():
+    """Every vector is sent once per block of the other side: 51,282 of width 64 went to 257 blocks."""
+    least = 200 * 64 * 8
+    assert [similarity._blocks(n, 64, least) for n in (0, 1, 200, 201, 1_000, 51_282)] == [1, 1, 1, 2, 5, 8]
+    for n in (102_564, 615_384, 10_000_000):
+        blocks = similarity._blocks(n, 64, least)
+        assert blocks <= max(8, n / 65_536 + 1) and n / blocks * 64 * 8 <= similarity.BLOCK_BYTES
+    assert similarity._blocks(1_000_000, 64, 64 << 20) == 8  # blocks asked to be larger stay so
