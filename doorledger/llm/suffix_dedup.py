@@ -41,14 +41,14 @@ _REACH = LENGTH - _GRAM
 _PARTS = 4
 #: regions (of at most 368 bytes) of one anchor that a task sorts by itself
 HOT = 4096
-_CHUNK, _LONG, _FLUSH = 1 << 20, 4 << 20, 48 << 20
+_CHUNK, _LONG, _FLUSH = 1 << 19, 4 << 20, 24 << 20
 _B1, _B2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 _tables: dict = {}
 
 
 def _powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
     if int(base) not in _tables or len(_tables[int(base)][0]) < n:
-        size, out = max(n, _CHUNK * 2), []
+        size, out = max(n, _CHUNK + 1), []
         for b in (base, np.uint64(pow(int(base), -1, 1 << 64))):
             steps = np.full(size, b, np.uint64)
             steps[0] = 1
@@ -121,7 +121,7 @@ def _long_anchors(data: np.ndarray):
 
 
 def _text_runs(texts: pa.Array):
-    """(first row, data, starts) of about a megabyte of texts as bytes."""
+    """(first row, data, starts) of about half a megabyte of texts as bytes."""
     raw = texts.fill_null(b"").cast(pa.large_binary())
     offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
     data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)
@@ -267,16 +267,16 @@ def refined(text: np.ndarray, room: np.ndarray, depth: int = LENGTH, gram: int =
         key = bucket[at] << bits | ahead[on]
 
 
-def _edges(batches, limit: int = 1 << 19):
+def _edges(batches, limit: int = 1 << 18):
     """Regions sorted by anchor to intervals of repeated bytes: packed pairs per row."""
     held, size, anchor = [], 0, None
 
     def resolve():
         text = np.frombuffer(b"".join(r[4] for r in held), np.uint8)
-        lengths = np.array([len(r[4]) for r in held])
-        begin = np.concatenate([[0], np.cumsum(lengths)])
-        of = np.repeat(np.arange(len(held)), lengths)
-        inner = np.arange(len(text)) - begin[of]
+        lengths = np.array([len(r[4]) for r in held], np.int32)  # as of and inner, which are as long as the text
+        begin = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        of = np.repeat(np.arange(len(held), dtype=np.int32), lengths)
+        inner = np.arange(len(text), dtype=np.int32) - begin[of]
         bucket = refined(text, lengths[of] - inner)
         use = np.flatnonzero(bucket >= 0)
         rids, number = np.unique(np.array([r[1] for r in held]), return_inverse=True)

@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,6 +29,36 @@ def test_components(spark):
     assert connected_components(edges.where("false")).count() == 0
 
 
+def test_components_in_one_step_or_many(spark, monkeypatch):
+    """Few edges need no round of shuffles, however long the chain; many edges give the same by rounds."""
+    n = 3000
+    rows = [(i, i + 1) for i in range(n)] + [(i + 10_000, i + 10_001) for i in range(0, n, 2)] + [(None, 1), (2, None), (9, 9)]
+    edges = spark.createDataFrame(rows, "src long, dst long").repartition(7).localCheckpoint()
+    want = {**dict.fromkeys(range(n + 1), 0), **{i + 10_000 + k: i + 10_000 for i in range(0, n, 2) for k in (0, 1)}}
+    kept, written = common.stored, []
+    monkeypatch.setattr(common, "stored", lambda df, *a: written.append(1) or kept(df, *a))
+    assert {r.node: r.component for r in connected_components(edges).collect()} == want
+    assert len(written) <= 2
+    monkeypatch.setattr(common, "AT_ONCE", 100)
+    assert {r.node: r.component for r in connected_components(edges).collect()} == want
+    assert len(written) > 4
+
+
+def test_suffix_arrays_stay_small():
+    """What a worker keeps, and the largest arrays over a run of short texts."""
+    import tracemalloc
+
+    rng = np.random.default_rng(0)
+    texts = pa.array([rng.integers(32, 127, 2000, dtype=np.uint8).tobytes() for _ in range(2000)], pa.binary())
+    suffix_dedup._tables.clear()
+    tracemalloc.start()
+    n = sum(len(x["h"]) for x in suffix_dedup._occurrences(iter([{"_text": texts, common.RID: pa.array(range(2000), pa.int64())}])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 10_000 and sum(x.nbytes for t in suffix_dedup._tables.values() for x in t) < 20 << 20
+    assert peak < 80 << 20, peak >> 20
+
+
 def test_bpe_equals_library(odd_docs, no_docs):
     library = tokenizers.Tokenizer.from_file(PATH)
     got = Counter(tuple(r) for r in bpe.round_trip_digests(odd_docs, PATH).collect())
