@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doorledger.llm import exact_dedup, near_dedup, packing, suffix_dedup, toxicity
 from doorledger.llm.catalog import tokenizer_file
-from doorledger.llm.common import stored, table
+from doorledger.llm.common import decided, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +47,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to documents, each stored in the shared folder before the next reads it."""
+    """The stages applied to documents, each stored in the shared folder before the next reads it; what a stage stored for itself is then deleted."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        docs = decided(partial(stage, spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from doorledger.llm.common import map_rows
+from doorledger.llm.common import kept, map_rows
 
 #: distinct pieces of text whose ids a task keeps at hand, and the longest of them
 CACHE, CACHED = 500_000, 48
@@ -298,10 +298,14 @@ class Decoder:
         return rest
 
 
-@lru_cache(maxsize=2)
+_vocabulary = lru_cache(maxsize=2)(Vocabulary)
+
+
 def encoder_of(path: str) -> Encoder:
-    """The encoder of a file, kept with its cache for all tasks of a Python worker."""
-    return Encoder(Vocabulary(path))
+    """The encoder of a file, kept with its cache of up to some 200 MB for an operator's tasks in a Python worker."""
+    if ("encoder", path) not in kept:
+        kept["encoder", path] = Encoder(_vocabulary(path))
+    return kept["encoder", path]
 
 
 def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from doorledger.llm.common import RID, counted, map_rows, numbered, shuffle_parts, stored
+from doorledger.llm.common import RID, counted, decided, map_rows, numbered, shuffle_parts, stored
 
 #: bytes of edges that one task's trie may hold
 TRIE_BYTES = 96 << 20
@@ -245,5 +245,5 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of a stored table that stay, with all their columns."""
     rows = numbered(docs)
-    kept = exact_groups(rows, id_col, text_col).where("kept").select(RID)
+    kept = decided(lambda: exact_groups(rows, id_col, text_col).where("kept").select(RID))
     return rows.join(kept, RID, "left_semi").drop(RID)

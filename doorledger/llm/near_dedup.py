@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from doorledger.llm.common import RID, connected_components, groups, map_rows, numbered, shuffle_parts, stored
+from doorledger.llm.common import RID, connected_components, decided, groups, map_rows, numbered, shuffle_parts, stored
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 14, 3
@@ -435,5 +435,5 @@ def _grouped(docs: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of near copies of a table, with all its columns."""
     rows = numbered(docs)
-    gone = _grouped(_named(rows, id_col, text_col, RID)).where("not kept").select(RID)
+    gone = decided(lambda: _grouped(_named(rows, id_col, text_col, RID)).where("not kept").select(RID))
     return rows.join(gone, RID, "left_anti").drop(RID)

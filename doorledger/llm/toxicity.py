@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from doorledger.llm.common import fold, spread
+from doorledger.llm.common import fold, small_batches, spread
 
 # fixed values: common insults and second-person words
 INSULTS = ("idiot", "moron", "stupid", "dumb", "loser", "scum", "trash", "pathetic", "worthless",
@@ -270,6 +270,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000, pieces: i
 
     Of a text longer than ``pieces`` x ``piece_chars`` characters so many pieces are read, spread over the whole of it.
     """
+    small_batches(docs.sparkSession)
     chosen = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()
                            & (fold(F.col(id_col), 5) != 0))
               .select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))

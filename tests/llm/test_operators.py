@@ -4,6 +4,7 @@ import hashlib
 import zlib
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -505,3 +506,66 @@ def test_owner_tries_spill_between_texts(odd_docs):
 def test_samples_spread_over_whole_texts(spark):
     df = spark.createDataFrame([("abcdefghijklmnopqrstuvwxyz",), ("abcdefghi",), ("",), (None,)], "t string")
     assert [r[0] for r in df.select(common.spread(F.col("t"), 3, 3)).collect()] == ["abc lmn xyz", "abcdefghi", "", None]
+
+
+def parquet_bytes(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+
+def test_dedup_leaves_one_copy_of_its_rows(spark, tmp_path):
+    """What exact and near dedup store to decide which rows stay is gone once that is known."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10 ** 6, 300)) for _ in range(300)]
+    rows = [(i, texts[i % 300] if i < 400 else texts[i % 300].replace(" w", " v", 1)) for i in range(500)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    base = Path(common.scratch_dir(spark, "any").removeprefix("file:")).parent
+    for drop, left in ((exact_dedup.drop_copies, 400), (near_dedup.drop_near_copies, 300)):
+        had = parquet_bytes(base)
+        kept = drop(docs)
+        own = parquet_bytes(base) - had
+        common.numbered(docs)
+        copy = parquet_bytes(base) - had - own
+        assert copy <= own < 1.2 * copy and kept.count() == left
+
+
+def test_decided_keeps_outer_tables_only(spark):
+    outer = common.stored(spark.range(10).toDF("n"))
+    seen = []
+
+    def make():
+        inner = common.decided(lambda: common.stored(outer.where("n > 2")).where("n > 3"))
+        seen.append(inner)
+        return inner.where("n > 4")
+
+    assert common.decided(make).count() == 5 and outer.count() == 10
+    with pytest.raises(Exception, match="(?i)not.*exist|not.*found"):
+        seen[0].collect()
+
+
+def test_tasks_get_texts_in_small_batches(spark):
+    def sizes(batches):
+        for b in batches:
+            yield {"n": [sum(len(t) for t in b["text"].to_pylist())]}
+
+    rows = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 5000).alias("text"))
+    got = [r.n for r in common.map_rows(rows, sizes, "n long").collect()]
+    assert sum(got) == 15_000_000 and max(got) < 1.5 * common.BATCH_BYTES
+
+
+def test_a_worker_frees_the_cache_of_another_operator(spark):
+    docs = spark.range(0, 40, 1, 1).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.md5(F.concat("id", F.lit(str(k)))) for k in range(9)]).alias("text"))
+
+    def cached(batches):
+        for b in batches:
+            yield {"n": [sum(len(v.pieces) for v in common.kept.values() if isinstance(v, bpe.Encoder))] * len(b["id"])}
+
+    bpe.round_trip_digests(docs, tokenizer_file()).collect()
+    cached.__module__ = bpe.__name__
+    pieces = common.map_rows(spark.range(0, 1, 1, 1), cached, "n long").first().n
+    cached.__module__ = exact_dedup.__name__
+    assert pieces in (0, 360) and common.map_rows(spark.range(0, 1, 1, 1), cached, "n long").first().n == 0
+    encoder = bpe.encoder_of(tokenizer_file())
+    assert bpe.encoder_of(tokenizer_file()) is encoder
+    common._taken_over("another")
+    assert bpe.encoder_of(tokenizer_file()) is not encoder and bpe.encoder_of(tokenizer_file()).v is encoder.v
