@@ -40,8 +40,8 @@ def _pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str,
         encoder, end, width = encoder_of(path), end_id.to_bytes(4, "little"), 4 * capacity
         for b in batches:
             out = [[] for _ in range(7)]
-            for doc_id, text in zip(b["_id"].to_pylist(), b["_text"], strict=True):
-                ids = b"".join([*encoder.blocks(text.as_py() or ""), end])
+            for doc_id, blocks in zip(b["_id"].to_pylist(), encoder.texts(b["_text"]), strict=True):
+                ids = b"".join([*blocks, end])
                 for k in range(0, len(ids), width):
                     piece = ids[k:k + width]
                     n = len(piece) // 4

@@ -78,6 +78,36 @@ def test_long_words_stream_through_a_window(text):
     assert ids == tokenizers.Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
 
 
+def test_new_words_of_many_texts_are_merged_together(monkeypatch):
+    """A word that no task has met before costs no Python of its own."""
+    def alone(*_):
+        raise AssertionError("a simple word was merged alone")
+
+    rng = np.random.default_rng(3)
+    letters = np.array([*"aeinorstéß"])
+    texts = [" ".join("".join(rng.choice(letters, rng.integers(1, 30))).capitalize() + rng.choice(["", ".", "!!", "42"]) for _ in range(40)) for _ in range(60)]
+    library, encoder = tokenizers.Tokenizer.from_file(PATH), bpe.Encoder(bpe.Vocabulary(PATH))
+    monkeypatch.setattr(bpe.Vocabulary, "merged", alone)
+    got = [np.frombuffer(b"".join(blocks), "<u4").tolist() for blocks in encoder.texts(pa.array(texts))]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("ahead, block", [(1 << 22, 1 << 20), (60, 16)])
+def test_columns_of_texts_equal_library(monkeypatch, ahead, block):
+    """Kinds of characters side by side, nulls, slices, and texts longer than what is encoded at a time."""
+    monkeypatch.setattr(bpe, "AHEAD", ahead)
+    monkeypatch.setattr(bpe, "BLOCK", block)
+    parts = ["a", "The", "É", "İ", "Ⱥ", "ß", "'", "'s", "'LL", "12", "²", "½", "!?", "|", "<|startoftext|>", "<|", " ", "\n", "\x1c", "\x85", "\xa0", "\u3000",
+             "\u200a", "中", "e\u0301", "😀", "’", "\xad", "\x00", "ǅ", "Σ", "x" * 30, "!" * 60, "-"]
+    rng = np.random.default_rng(11)
+    texts = ["".join(rng.choice(parts, rng.integers(0, 40))) for _ in range(800)] + [f"{a}{b} {a}1{b}a" for a in parts for b in parts] + ["", None, None]
+    library, encoder = tokenizers.Tokenizer.from_file(PATH), bpe.encoder_of(PATH)
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for column in (pa.array(texts), pa.array(["cut off", *texts, "é"], pa.large_string()).slice(1, len(texts))):
+        assert [np.frombuffer(b"".join(blocks), "<u4").tolist() for blocks in encoder.texts(column)] == want
+    assert list(encoder.texts(pa.array([], pa.string()))) == []
+
+
 def test_decoder_keeps_split_characters():
     text = "aé中😀b"
     d = bpe.Decoder([bytes([i]) for i in range(256)], b"")
