@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from doorledger.llm.common import kept, map_rows
 
-#: distinct pieces of text whose ids a task keeps at hand, and the longest of them
+#: distinct pieces of text whose ids a task keeps at hand, and the longest of them and of the words merged together (below 64)
 CACHE, CACHED = 500_000, 48
 #: characters of a long text that are encoded at a time, and of a piece that the library splits
 BLOCK, SLICE = 1 << 20, 1 << 14
@@ -509,7 +509,7 @@ _vocabulary = lru_cache(maxsize=2)(Vocabulary)
 
 
 def encoder_of(path: str) -> Encoder:
-    """The encoder of a file, kept with its cache of up to some 200 MB for an operator's tasks in a Python worker."""
+    """The encoder of a file, kept with its cache, bounded by ``CACHE``, for an operator's tasks in a Python worker."""
     if ("encoder", path) not in kept:
         kept["encoder", path] = Encoder(_vocabulary(path))
     return kept["encoder", path]
